@@ -69,7 +69,7 @@ def ingest(spark: SparkSession, paths: IngestPaths, batch_seq: int, run_date: st
     after = _rows(read_or_none(spark, paths.processed))
     entry = status.select(
         "file_name", "n_rows", "status", "reason",
-        F.lit(before).alias("table_rows_before"), F.lit(after).alias("table_rows_after"),
+        F.lit(before).cast("long").alias("table_rows_before"), F.lit(after).cast("long").alias("table_rows_after"),
         F.lit(batch_seq).cast("long").alias("batch_seq"), F.lit(run_date).cast("date").alias("run_date"),
     )
     append_rows(entry, paths.log)

@@ -29,6 +29,7 @@ REQUEST_LOG_EXPRS = [
 
 CUSTOMER_BASE_EXPRS = [
     "c_custkey AS k",
+    "c_nationkey AS nation",
     "(c_custkey * 7) % 73 AS tn",
     "1825 + (c_custkey * 13) % 10000 AS cents",
     "CASE c_nationkey % 3 WHEN 0 THEN 'DSL' WHEN 1 THEN 'Fiber optic' ELSE 'No' END AS net",
@@ -92,10 +93,8 @@ def request_log_from_events(events: DataFrame) -> DataFrame:
 
 
 def raw_customers_from_table(customer: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` passes further expressions over the customer table through."""
-    keep = keep or []
-    names = [e.rsplit(" AS ", 1)[-1] for e in keep]
-    return customer.selectExpr(*CUSTOMER_BASE_EXPRS, *keep).selectExpr(*RAW_CUSTOMER_EXPRS, *names)
+    """``keep`` may name ``k`` (customer number) and ``nation``."""
+    return customer.selectExpr(*CUSTOMER_BASE_EXPRS).selectExpr(*RAW_CUSTOMER_EXPRS, *(keep or []))
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

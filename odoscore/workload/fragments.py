@@ -8,7 +8,7 @@ TELEMETRY = f"telemetry AS (SELECT {', '.join(TELEMETRY_EXPRS)} FROM events)"
 REQUEST_LOG = f"request_log AS (SELECT {', '.join(REQUEST_LOG_EXPRS)} FROM events)"
 
 RAW = f"""
-base AS (SELECT {', '.join(CUSTOMER_BASE_EXPRS)}, c_nationkey AS nation FROM customer),
+base AS (SELECT {', '.join(CUSTOMER_BASE_EXPRS)} FROM customer),
 raw_customer AS (SELECT {', '.join(RAW_CUSTOMER_EXPRS)}, k, nation FROM base)"""
 
 _FLAGS = [
