@@ -15,62 +15,59 @@ from ..schemas import (
 )
 
 
-def relabel(column: Column, labels: dict[str, str]) -> Column:
+def relabel(column: str, labels: dict[str, str]) -> str:
     """Dictionary lookup; a value outside the dictionary becomes NULL."""
-    pairs = [F.lit(item) for pair in labels.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), column)
+    cases = " ".join(f"WHEN '{raw}' THEN '{clean}'" for raw, clean in labels.items())
+    return f"CASE {column} {cases} END"
 
 
-def yes_flag(column: Column) -> Column:
+def yes_flag(column: str) -> str:
     """1 for ``Yes``; anything else, NULL included, is 0."""
-    return F.coalesce((column == "Yes").cast("int"), F.lit(0))
+    return f"coalesce(cast({column} = 'Yes' AS int), 0)"
 
 
-def number_or_zero(column: Column) -> Column:
+def number(column: str, kind: str) -> str:
+    """Typed parse; failures and NaN become NULL."""
+    parsed = f"try_cast(cast({column} AS string) AS {kind})"
+    return f"nanvl({parsed}, cast(NULL AS double))" if kind == "double" else parsed
+
+
+def number_or_zero(column: str) -> str:
     """Tolerant parse: blanks, text and NaN become 0.0."""
-    parsed = column.cast("string").try_cast("double")
-    return F.when(F.isnan(parsed), 0.0).otherwise(F.coalesce(parsed, F.lit(0.0)))
+    return f"coalesce({number(column, 'double')}, 0.0D)"
 
 
-def number(column: Column, kind: str) -> Column:
-    """Typed parse; failures and NaN become NULL."""
-    parsed = column.cast("string").try_cast(kind)
-    return F.nanvl(parsed, F.lit(None).cast("double")) if kind == "double" else parsed
+CLEAN_SQL: dict[str, str] = {
+    "customer_id": "customerID",
+    "snapshot_date": "cast(NULL AS date)",
+    "tenure_months": number("tenure", "int"),
+    "contract_type": relabel("Contract", CONTRACT_LABELS),
+    "payment_method": relabel("PaymentMethod", PAYMENT_LABELS),
+    "internet_service": relabel("InternetService", INTERNET_LABELS),
+    "monthly_charges": number("MonthlyCharges", "double"),
+    "total_charges": number_or_zero("TotalCharges"),
+    "senior_citizen": number("SeniorCitizen", "int"),
+    "churn": "CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END",
+} | {name: yes_flag(source) for name, source in YES_NO_FLAGS.items()}
 
 
-def clean_customers(raw: DataFrame, snapshot_date: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+def clean_customers(raw: DataFrame, snapshot_date: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """One projection from vendor names and labels to the 20 snapshot columns.
 
     ``churn`` is NULL for a label other than Yes/No and ``tenure_months`` is
     NULL for a tenure that is no integer; :func:`unusable` finds those rows.
-    ``snapshot_date`` is NULL until a batch date is known.  ``keep`` passes
-    further columns through.
+    ``snapshot_date`` is an expression over the raw columns, NULL until a
+    batch date is known.  ``keep`` passes further columns through.
     """
-    label = F.when(F.col("Churn") == "Yes", 1).when(F.col("Churn") == "No", 0)
-    exprs = {
-        "customer_id": F.col("customerID"),
-        "snapshot_date": F.lit(None) if snapshot_date is None else snapshot_date,
-        "tenure_months": number(F.col("tenure"), "int"),
-        "contract_type": relabel(F.col("Contract"), CONTRACT_LABELS),
-        "payment_method": relabel(F.col("PaymentMethod"), PAYMENT_LABELS),
-        "internet_service": relabel(F.col("InternetService"), INTERNET_LABELS),
-        "monthly_charges": number(F.col("MonthlyCharges"), "double"),
-        "total_charges": number_or_zero(F.col("TotalCharges")),
-        "senior_citizen": number(F.col("SeniorCitizen"), "int"),
-        "churn": label,
-    }
-    for name, source in YES_NO_FLAGS.items():
-        exprs[name] = yes_flag(F.col(source))
-    return raw.select(
-        *[exprs[c].cast(SNAPSHOT_TYPES[c]).alias(c) for c in SNAPSHOT_COLUMNS], *(keep or [])
+    exprs = CLEAN_SQL if snapshot_date is None else CLEAN_SQL | {"snapshot_date": snapshot_date}
+    return raw.selectExpr(
+        *[f"cast({exprs[c]} AS {SNAPSHOT_TYPES[c]}) AS {c}" for c in SNAPSHOT_COLUMNS], *(keep or [])
     )
 
 
 def unusable(label: str = "churn") -> Column:
     """True for cleaned rows the pipeline must quarantine instead of using."""
-    return (
-        F.col(label).isNull() | F.col("tenure_months").isNull() | F.col("senior_citizen").isNull()
-    )
+    return F.expr(f"{label} IS NULL OR tenure_months IS NULL OR senior_citizen IS NULL")
 
 
 def split_unusable(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -82,12 +79,10 @@ def typed_snapshot(text: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """All-string snapshot rows (a landing file) -> snapshot types; bad values become NULL."""
     have = set(text.columns)
 
-    def column(name: str) -> Column:
+    def column(name: str) -> str:
         kind = SNAPSHOT_TYPES[name]
         if name not in have:
-            return F.lit(None).cast(kind).alias(name)
-        if kind == "string":
-            return F.col(name).alias(name)
-        return number(F.col(name), kind).alias(name)
+            return f"cast(NULL AS {kind}) AS {name}"
+        return f"{name if kind == 'string' else number(name, kind)} AS {name}"
 
-    return text.select(*[column(c) for c in SNAPSHOT_COLUMNS], *(keep or []))
+    return text.selectExpr(*[column(c) for c in SNAPSHOT_COLUMNS], *(keep or []))

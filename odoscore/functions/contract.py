@@ -2,34 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BINARY_FLAGS, CONTRACT_CODES, INTERNET_CODES, PAYLOAD_MAX_TENURE, PAYMENT_CODES
 
 
-def _rules() -> dict[str, Column]:
-    """Column -> condition that must hold; NULL and NaN never satisfy it."""
-    rules = {"tenure_months": F.col("tenure_months").between(0, PAYLOAD_MAX_TENURE)}
-    for name, codes in (
-        ("contract_type", CONTRACT_CODES),
-        ("payment_method", PAYMENT_CODES),
-        ("internet_service", INTERNET_CODES),
-    ):
-        rules[name] = F.col(name).isin(codes)
-    for name in ("monthly_charges", "total_charges"):
-        rules[name] = (F.col(name) >= 0) & ~F.isnan(name)
-    for name in BINARY_FLAGS:
-        rules[name] = F.col(name).isin(0, 1)
-    return rules
+def _one_of(column: str, values: list) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
+# Column -> condition that must hold; NULL and NaN never satisfy it.
+RULES: dict[str, str] = {
+    "tenure_months": f"tenure_months BETWEEN 0 AND {PAYLOAD_MAX_TENURE}",
+    "contract_type": _one_of("contract_type", CONTRACT_CODES),
+    "payment_method": _one_of("payment_method", PAYMENT_CODES),
+    "internet_service": _one_of("internet_service", INTERNET_CODES),
+    "monthly_charges": "monthly_charges >= 0 AND NOT isnan(monthly_charges)",
+    "total_charges": "total_charges >= 0 AND NOT isnan(total_charges)",
+} | {flag: _one_of(flag, [0, 1]) for flag in BINARY_FLAGS}
 
 
 def with_violations(df: DataFrame) -> DataFrame:
     """Add ``violations``: the names of the columns that break the contract."""
-    broken = [
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in _rules().items()
-    ]
-    return df.withColumn("violations", F.array_compact(F.array(*broken)))
+    broken = ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in RULES.items())
+    return df.withColumn("violations", F.expr(f"array_compact(array({broken}))"))
 
 
 def validate_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -43,19 +43,17 @@ def exact_percentiles(
     group = Window.partitionBy(*by)
     upto = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = cells.withColumn("_end", F.sum("_in").over(upto)).withColumn("_total", F.sum("_in").over(group))
-    ranks = []
-    for i, p in enumerate(probs):
-        spot = (F.col("_total") - 1) * F.lit(float(p))
-        below = F.floor(spot).cast("long")
-        for side, rank in enumerate((below, F.least(below + 1, F.col("_total") - 1))):
-            ranks.append(F.struct(
-                F.lit(2 * i + side).alias("slot"), rank.alias("rank"), (spot - below).alias("part")
-            ))
+    # Two neighbouring ranks per percentile; the second is clamped to the last row.
+    ranks = ", ".join(
+        f"struct({2 * i + side} AS slot, least(floor((_total - 1) * {float(p)!r}D) + {side}, _total - 1) AS rank, "
+        f"(_total - 1) * {float(p)!r}D % 1 AS part)"
+        for i, p in enumerate(probs) for side in (0, 1)
+    )
     hit = (
         cells.withColumn("_start", F.col("_end") - F.col("_in"))
-        .withColumn("_r", F.explode(F.array(*ranks)))
-        .filter((F.col("_r.rank") >= F.col("_start")) & (F.col("_r.rank") < F.col("_end")))
-        .select(*by, "_cell", "_start", "_low", "_high", "_r.slot", "_r.rank", "_r.part")
+        .select(*by, "_cell", "_start", "_low", "_high", "_end", F.expr(f"inline(array({ranks}))"))
+        .filter("rank >= _start AND rank < _end")
+        .drop("_end")
     )
     near = _join_groups(values, hit, [*by, "_cell"]).withColumn(
         "_fine",
@@ -81,12 +79,14 @@ def exact_percentiles(
         .withColumn("_end", F.col("_base") + F.sum("_n").over(last))
         .filter((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_n")))
     )
-    picked = []
-    for i in range(len(probs)):
-        low, high = (F.max(F.when(F.col("slot") == 2 * i + side, F.col("_v"))) for side in (0, 1))
-        part = F.max(F.when(F.col("slot") == 2 * i, F.col("part")))
-        picked.append(low + (high - low) * part)
-    return found.groupBy(*by).agg(F.array(*picked).alias("q"))
+    def picked(column: str, slot: int) -> str:
+        return f"max(CASE WHEN slot = {slot} THEN {column} END)"
+
+    q = ", ".join(
+        f"{picked('_v', 2 * i)} + ({picked('_v', 2 * i + 1)} - {picked('_v', 2 * i)}) * {picked('part', 2 * i)}"
+        for i in range(len(probs))
+    )
+    return found.groupBy(*by).agg(F.expr(f"array({q})").alias("q"))
 
 
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -76,10 +76,10 @@ def part_number(key: str, seed: int, cuts: Column) -> Column:
 
 def near_equal_positions(n_parts: int, n_rows: str = "n_rows") -> Column:
     """Cut positions for sizes that differ by at most one, the larger parts first."""
-    n = F.col(n_rows)
-    small = F.floor(n / n_parts).cast("long")
-    extra = n - small * n_parts
-    return F.array(*[small * i + F.least(extra, F.lit(i)) for i in range(1, n_parts)])
+    return F.expr(
+        f"transform(sequence(1, {n_parts - 1}), "
+        f"i -> ({n_rows} div {n_parts}) * i + least({n_rows} % {n_parts}, cast(i AS bigint)))"
+    )
 
 
 def stage_batches(

@@ -1,11 +1,15 @@
-"""Batch statistics for data quality and drift, one scan per call."""
+"""Batch statistics for data quality and drift, one scan per call.
+
+Wide aggregates are written as SQL text: every expression built through the
+Python column API is several calls to the JVM, and there are dozens here.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import feature_columns
+from ..functions.features import FEATURE_SQL
 from ..schemas import (
     DQ_MAX_NULL_RATE,
     DQ_RANGES,
@@ -15,125 +19,99 @@ from ..schemas import (
 )
 
 
+def _aggregate(df: DataFrame, by: list[str], exprs: list[str]) -> DataFrame:
+    return df.groupBy(*by).agg(*[F.expr(e) for e in exprs])
+
+
 def feature_stats(features: DataFrame, version: str, by: list[str] | None = None) -> DataFrame:
     """Reference statistics (version, feature, mean, std, n_rows): mean and sample deviation."""
     by = by or []
-    one = features.groupBy(*by).agg(
-        F.count("*").alias("n_rows"),
-        *[F.struct(F.avg(f).alias("mean"), F.stddev_samp(f).alias("std")).alias(f) for f in FEATURES],
+    one = _aggregate(
+        features, by,
+        ["count(*) AS n_rows"] + [f"struct(avg({f}) AS mean, stddev_samp({f}) AS std) AS {f}" for f in FEATURES],
     )
-    items = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"{f}.mean"), F.col(f"{f}.std")) for f in FEATURES])
-    return one.select(*by, "n_rows", F.explode(items).alias("s")).select(
-        *by, F.lit(version).alias("version"), "s.feature", "s.mean", "s.std", "n_rows"
+    rows = ", ".join(f"struct('{f}' AS feature, {f}.mean AS mean, {f}.std AS std)" for f in FEATURES)
+    return one.select(*by, "n_rows", F.expr(f"inline(array({rows}))")).select(
+        *by, F.lit(version).alias("version"), "feature", "mean", "std", "n_rows"
     )
 
 
-def is_missing(column: Column, kind: str) -> Column:
-    return column.isNull() | F.isnan(column) if kind in ("double", "float") else column.isNull()
+def missing_sql(column: str, kind: str) -> str:
+    """True for NULL, and for NaN in float columns."""
+    return f"({column} IS NULL OR isnan({column}))" if kind in ("double", "float") else f"{column} IS NULL"
 
 
-def batch_profile(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Everything the checks need about a batch, in one aggregate.
+def batch_checks(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Everything the checks look at, one row per check: (by..., n_rows, pos, check, name, value).
 
-    ``n_rows``; ``null_rate`` and ``out_of_range`` as maps by column; and
-    ``feature_mean`` by feature.  Feature means are left out when a payload
-    column is missing.  A rate of NULL marks a missing column.
+    ``value`` is the null rate or out-of-range rate of a column, or the mean
+    of a feature; all come from one aggregate over the batch.  ``pos`` is the
+    report order.  Features are left out when a payload column is missing.
     """
     by = by or []
     kinds = dict(df.dtypes)
-    complete = all(c in kinds for c in PAYLOAD_COLUMNS)
+    checks: list[tuple[str, str, str]] = []
+    aggregates = ["count(*) AS n_rows"]
 
-    def rates(names, condition) -> Column:
-        pairs = []
-        for name in names:
-            # NULL conditions count as "no".
-            rate = F.avg(F.coalesce(condition(name), F.lit(False)).cast("int")) if name in kinds else F.lit(None)
-            pairs += [F.lit(name), rate.cast("double")]
-        return F.create_map(*pairs)
+    def add(check: str, name: str, sql: str | None) -> None:
+        if sql is not None:
+            aggregates.append(f"{sql} AS _c{len(checks)}")
+        checks.append((check, name, "cast(NULL AS double)" if sql is None else f"cast(_c{len(checks)} AS double)"))
 
-    def outside(name: str) -> Column:
-        low, high = DQ_RANGES[name]
-        value = F.col(name)
-        return ((value < low) | (value > high)) & ~is_missing(value, kinds[name])
+    for name in PAYLOAD_COLUMNS:
+        if name in kinds:
+            add("null_rate", name, f"avg(cast({missing_sql(name, kinds[name])} AS int))")
+        else:
+            add("missing_column", name, None)
+    for name, (low, high) in DQ_RANGES.items():
+        if name in kinds:
+            # A missing value counts as in range.
+            outside = f"NOT {missing_sql(name, kinds[name])} AND ({name} < {low} OR {name} > {high})"
+            add("out_of_range", name, f"avg(cast({outside} AS int))")
+    if all(c in kinds for c in PAYLOAD_COLUMNS):
+        for name in FEATURES:
+            add("drift", name, f"avg(nanvl(cast({FEATURE_SQL[name]} AS double), NULL))")
+    rows = ", ".join(
+        f"struct({i} AS pos, '{check}' AS check, '{name}' AS name, {value} AS value)"
+        for i, (check, name, value) in enumerate(checks)
+    )
+    return _aggregate(df, by, aggregates).select(*by, "n_rows", F.expr(f"inline(array({rows}))"))
 
-    exprs = [
-        F.count("*").alias("n_rows"),
-        rates(PAYLOAD_COLUMNS, lambda c: is_missing(F.col(c), kinds[c])).alias("null_rate"),
-        rates(DQ_RANGES, outside).alias("out_of_range"),
-    ]
-    if complete:
-        pairs = [x for f, c in feature_columns().items() for x in (F.lit(f), F.avg(F.nanvl(c.cast("double"), F.lit(None).cast("double"))))]
-        exprs.append(F.create_map(*pairs).alias("feature_mean"))
-    return df.groupBy(*by).agg(*exprs)
 
+def _percent(sql: str) -> str:
+    return f"concat(cast(try_cast(bround(({sql}) * 100, 1) AS decimal(38,1)) AS string), '%')"
 
-def _percent(rate: Column) -> Column:
-    return F.concat(F.bround(rate * 100, 1).try_cast("decimal(38,1)").cast("string"), F.lit("%"))
 
+def _fixed(sql: str) -> str:
+    return f"cast(try_cast(bround({sql}, 3) AS decimal(38,3)) AS string)"
 
-def _fixed(value: Column) -> Column:
-    return F.bround(value, 3).try_cast("decimal(38,3)").cast("string")
 
+QUALITY_MESSAGE = f"""CASE
+ WHEN check = 'missing_column' AND n_rows > 0 THEN concat('MISSING COLUMN: ', name)
+ WHEN check = 'null_rate' AND round(value, 10) > {DQ_MAX_NULL_RATE}D
+  THEN concat('HIGH NULL RATE: ', name, ' = ', {_percent('value')})
+ WHEN check = 'out_of_range' AND value > 0 THEN concat('OUT-OF-RANGE ', name, ': ', {_percent('value')}, ' of rows')
+END"""
 
-def quality_entries() -> Column:
-    """Array of (check, column, rate, threshold, message) for the broken rules, in rule order."""
-    entry = "struct<check:string,column:string,rate:double,threshold:double,message:string>"
+_SHIFT = "try_divide(abs(value - ref_mean), abs(ref_mean))"
+DRIFT_MESSAGE = f"""CASE
+ WHEN check = 'drift' AND round(rel_shift, 10) > {DRIFT_MAX_MEAN_SHIFT}D
+  THEN concat('DRIFT in \\'', name, '\\': train_mean=', {_fixed('ref_mean')}, ' recent_mean=', {_fixed('value')},
+   ' (relative shift=', {_percent('rel_shift')}, ', threshold={DRIFT_MAX_MEAN_SHIFT:.0%})')
+END"""
 
-    def make(check, name, rate, threshold, message):
-        return F.struct(
-            F.lit(check).alias("check"), F.lit(name).alias("column"), rate.alias("rate"),
-            F.lit(threshold).cast("double").alias("threshold"), message.alias("message"),
-        ).cast(entry)
 
-    found = []
-    for name in PAYLOAD_COLUMNS:
-        rate = F.col("null_rate").getItem(name)
-        # An empty batch has no rates at all: nothing to report.
-        found.append(F.when(
-            rate.isNull() & (F.col("n_rows") > 0),
-            make("missing_column", name, rate, None, F.lit(f"MISSING COLUMN: {name}")),
-        ).when(
-            F.round(rate, 10) > DQ_MAX_NULL_RATE,
-            make("null_rate", name, rate, DQ_MAX_NULL_RATE,
-                 F.concat(F.lit(f"HIGH NULL RATE: {name} = "), _percent(rate))),
-        ))
-    for name in DQ_RANGES:
-        rate = F.col("out_of_range").getItem(name)
-        found.append(F.when(
-            rate > 0,
-            make("out_of_range", name, rate, 0.0,
-                 F.concat(F.lit(f"OUT-OF-RANGE {name}: "), _percent(rate), F.lit(" of rows"))),
-        ))
-    return F.array_compact(F.array(*found))
-
-
-def reference_means(stats: DataFrame) -> Column:
-    """Scalar subquery: map feature -> reference mean (one entry per feature)."""
-    return stats.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.col("mean"))))
-    ).scalar()
-
-
-def drift_entries() -> Column:
-    """Array of (feature, ref_mean, recent_mean, rel_shift, message) for shifted means.
-
-    Needs ``feature_mean`` and ``ref_mean`` maps.  A feature without a
-    reference, with reference mean 0, or without a recent mean is skipped.
+def quality_issues(checks: DataFrame) -> DataFrame:
+    """Add ``issue``: the message of a broken quality rule, else NULL."""
+    return checks.withColumn("issue", F.expr(QUALITY_MESSAGE))
+
+
+def drift_issues(checks: DataFrame, stats: DataFrame) -> DataFrame:
+    """Add ``ref_mean``, ``rel_shift`` and ``warning`` by looking up the reference of each feature.
+
+    A feature without a reference, with reference mean 0, or without a recent
+    mean has no shift and raises no warning.
     """
-    found = []
-    for name in FEATURES:
-        ref = F.try_element_at("ref_mean", F.lit(name))
-        recent = F.try_element_at("feature_mean", F.lit(name))
-        shift = F.try_divide(F.abs(recent - ref), F.abs(ref))
-        message = F.concat(
-            F.lit(f"DRIFT in '{name}': train_mean="), _fixed(ref), F.lit(" recent_mean="), _fixed(recent),
-            F.lit(" (relative shift="), _percent(shift), F.lit(f", threshold={DRIFT_MAX_MEAN_SHIFT:.0%})"),
-        )
-        found.append(F.when(
-            F.round(shift, 10) > DRIFT_MAX_MEAN_SHIFT,
-            F.struct(
-                F.lit(name).alias("feature"), ref.alias("ref_mean"), recent.alias("recent_mean"),
-                shift.alias("rel_shift"), message.alias("message"),
-            ),
-        ))
-    return F.array_compact(F.array(*found))
+    ref = stats.select(F.col("feature").alias("_feature"), F.col("mean").alias("ref_mean"))
+    found = checks.join(ref, (F.col("check") == "drift") & (F.col("name") == F.col("_feature")), "left")
+    return found.drop("_feature").withColumn("rel_shift", F.expr(_SHIFT)).withColumn("warning", F.expr(DRIFT_MESSAGE))

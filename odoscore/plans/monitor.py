@@ -5,42 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.stats import batch_profile, drift_entries, quality_entries, reference_means
+from ..operators.stats import batch_checks, drift_issues, quality_issues
+from ..schemas import DQ_MAX_NULL_RATE
 from ..sources.tables import append_rows, read_or_none
 
 
 def dq_issues(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Broken quality rules: (by..., check, column, rate, threshold, message)."""
-    by = by or []
-    return batch_profile(df, by).select(*by, F.explode(quality_entries()).alias("e")).select(*by, "e.*")
+    threshold = f"CASE check WHEN 'null_rate' THEN {DQ_MAX_NULL_RATE}D WHEN 'out_of_range' THEN 0.0D END"
+    return quality_issues(batch_checks(df, by)).filter("issue IS NOT NULL").select(
+        *(by or []), "check", F.col("name").alias("column"), F.col("value").alias("rate"),
+        F.expr(threshold).alias("threshold"), F.col("issue").alias("message"),
+    )
 
 
 def drift_warnings(df: DataFrame, stats: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Shifted features: (by..., feature, ref_mean, recent_mean, rel_shift, message)."""
-    by = by or []
-    profile = batch_profile(df, by).withColumn("ref_mean", reference_means(stats))
-    return profile.select(*by, F.explode(drift_entries()).alias("e")).select(*by, "e.*")
+    return drift_issues(batch_checks(df, by), stats).filter("warning IS NOT NULL").select(
+        *(by or []), F.col("name").alias("feature"), "ref_mean", F.col("value").alias("recent_mean"),
+        "rel_shift", F.col("warning").alias("message"),
+    )
 
 
 def monitor_report(df: DataFrame, stats: DataFrame | None, by: list[str] | None = None) -> DataFrame:
-    """One report row per batch, from one scan.
+    """One report row per batch, from one scan of the batch.
 
     Without reference statistics, or when a payload column is missing, the
     drift list is empty and the quality list still stands.
     """
     by = by or []
-    profile = batch_profile(df, by)
-    issues = F.transform(quality_entries(), lambda e: e["message"])
-    warnings = F.array().cast("array<string>")
-    if stats is not None and "feature_mean" in profile.columns:
-        profile = profile.withColumn("ref_mean", reference_means(stats))
-        warnings = F.transform(drift_entries(), lambda e: e["message"])
-    return profile.select(
-        *by,
-        F.col("n_rows").alias("n_rows_checked"),
-        issues.alias("data_quality_issues"),
-        warnings.alias("drift_warnings"),
-    ).withColumn("any_issue_detected", (F.size("data_quality_issues") > 0) | (F.size("drift_warnings") > 0))
+    found = quality_issues(batch_checks(df, by))
+    if stats is None:
+        found = found.withColumn("warning", F.lit(None).cast("string"))
+    else:
+        found = drift_issues(found, stats)
+
+    def messages(column: str) -> str:
+        # One entry per check at most; NULL entries are skipped.
+        kept = f"collect_list(CASE WHEN {column} IS NOT NULL THEN struct(pos, {column} AS m) END)"
+        return f"transform(array_sort({kept}), e -> e.m)"
+
+    return (
+        found.groupBy(*by)
+        .agg(
+            F.max("n_rows").alias("n_rows_checked"),
+            F.expr(messages("issue")).alias("data_quality_issues"),
+            F.expr(messages("warning")).alias("drift_warnings"),
+        )
+        .withColumn("any_issue_detected", F.expr("size(data_quality_issues) > 0 OR size(drift_warnings) > 0"))
+    )
 
 
 def run_monitor(spark: SparkSession, recent: DataFrame, stats_path: str, report_path: str) -> DataFrame | None:
@@ -60,13 +73,22 @@ def run_monitor(spark: SparkSession, recent: DataFrame, stats_path: str, report_
     return report
 
 
-def quarantine_split(df: DataFrame, stats: DataFrame, batch: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(accepted rows, quarantined rows, report per batch).
+def with_quarantine(df: DataFrame, stats: DataFrame, batch: list[str]) -> DataFrame:
+    """All rows with ``quarantined``: true when their batch has any issue or warning.
 
-    A batch with any quality issue or drift warning is kept out of training
-    and of feedback metrics until a person has looked at it.
+    Such a batch is kept out of training and feedback metrics until a person
+    has looked at it.  The rows are read once more and never shuffled by
+    themselves: only the flagged batch names are joined.
     """
-    report = monitor_report(df, stats, batch)
-    flagged = report.filter("any_issue_detected").select(*[F.col(b).alias(f"_b_{b}") for b in batch])
+    flagged = monitor_report(df, stats, batch).filter("any_issue_detected")
+    flagged = flagged.select(*[F.col(b).alias(f"_b_{b}") for b in batch], F.lit(True).alias("_flag"))
     same = [F.col(b).eqNullSafe(F.col(f"_b_{b}")) for b in batch]
-    return df.join(flagged, same, "left_anti"), df.join(flagged, same, "left_semi"), report
+    return df.join(flagged, same, "left").withColumn(
+        "quarantined", F.coalesce("_flag", F.lit(False))
+    ).drop("_flag", *[f"_b_{b}" for b in batch])
+
+
+def quarantine_split(df: DataFrame, stats: DataFrame, batch: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, quarantined rows)."""
+    marked = with_quarantine(df, stats, batch)
+    return marked.filter("NOT quarantined").drop("quarantined"), marked.filter("quarantined").drop("quarantined")

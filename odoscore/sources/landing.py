@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import typed_snapshot
-from ..operators.stats import is_missing
+from ..operators.stats import missing_sql
 from ..schemas import FILE_MAX_NULL_FRACTION, SNAPSHOT_COLUMNS, SNAPSHOT_KEY, SNAPSHOT_TYPES
 
 # Position of a row in its file: split offset, then order inside the split.
@@ -76,7 +76,7 @@ def validate_files(
     """
     required = required or SNAPSHOT_COLUMNS
     kinds = dict(rows.dtypes)
-    worst = F.greatest(*[F.avg(is_missing(F.col(c), kinds[c]).cast("int")) for c in required])
+    worst = F.expr("greatest(" + ", ".join(f"avg(cast({missing_sql(c, kinds[c])} AS int))" for c in required) + ")")
     filled = rows.groupBy(file).agg(F.count("*").alias("n_rows"), worst.alias("max_null_fraction"))
     absent = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("columns"))
     return (

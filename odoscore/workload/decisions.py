@@ -13,7 +13,7 @@ from ..plans.alerts import positive_rate_alerts
 from ..plans.monitor import dq_issues as quality_issues
 from ..plans.monitor import drift_warnings as drift_rows
 from ..plans.monitor import monitor_report as report
-from ..plans.monitor import quarantine_split as quarantine
+from ..plans.monitor import with_quarantine
 from ..plans.promotion import promotion_decision as promote
 from ..plans.retrain import gather_signals
 from ..plans.retrain import retrain_decisions as decide
@@ -175,9 +175,9 @@ SELECT b.batch, CASE WHEN data_quality_issues <> '' OR drift_warnings <> '' THEN
  count(*)::bigint AS n_rows, round(sum(monthly_charges), 2) AS sum_charges
 FROM batches b JOIN report r USING (batch) GROUP BY ALL""")
 def quarantine_split(spark, sf_dir):
-    accepted, held, _ = quarantine(batches(spark, sf_dir), reference(spark, sf_dir), ["batch"])
-    both = accepted.withColumn("status", F.lit("accepted")).unionByName(held.withColumn("status", F.lit("quarantine")))
-    out = both.groupBy("batch", "status").agg(F.count("*").alias("n_rows"), F.sum("monthly_charges").alias("sum_charges"))
+    marked = with_quarantine(batches(spark, sf_dir), reference(spark, sf_dir), ["batch"])
+    status = F.when(F.col("quarantined"), "quarantine").otherwise("accepted").alias("status")
+    out = marked.groupBy("batch", status).agg(F.count("*").alias("n_rows"), F.sum("monthly_charges").alias("sum_charges"))
     return rounded(out, "sum_charges", digits=2)
 
 
@@ -262,12 +262,12 @@ def registry_latest(spark, sf_dir):
 
 
 @query(f"WITH {_SCORED}" + """,
-predictions AS (SELECT timestamp '2024-01-01' + to_days((k % 10)::int) AS at,
+predictions AS (SELECT timestamp '2024-01-01' + to_days((k % 10)::int) AS moment,
   CASE WHEN score >= 0.5 AND (k % 10 <> 4 OR k % 3 = 0) OR k % 10 = 7 THEN 1 ELSE 0 END AS pred FROM scored),
 ref AS (SELECT avg(pred::double) AS rate FROM predictions)
-SELECT strftime(at, '%Y-%m-%d') AS day, count(*)::bigint AS n_scored, round(avg(pred::double), 6) AS positive_rate,
+SELECT strftime(moment, '%Y-%m-%d') AS day, count(*)::bigint AS n_scored, round(avg(pred::double), 6) AS positive_rate,
  avg(pred::double) > 2 * (SELECT rate FROM ref) OR 2 * avg(pred::double) < (SELECT rate FROM ref) AS rate_alert
-FROM predictions GROUP BY at""")
+FROM predictions GROUP BY moment""")
 def positive_rate_alerts_daily(spark, sf_dir):
     rows = scored(spark, sf_dir)
     day = F.col("k") % 10

@@ -50,10 +50,11 @@ def stream_dedup(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Micro-batch ingest: one file is rejected, every 20th customer comes again with a new charge."""
     raw = views.raw_customers_from_table(views.stream_table(spark, sf_dir, "customer"), ["k"])
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("k") % 10).cast("int"))
+    day = "date_add(date '2024-01-01', cast(k % 10 AS int))"
     rows = clean_customers(raw, snapshot_date=day, keep=["k"])
     times = F.when(F.col("k") % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = rows.withColumn("batch_seq", F.explode(times).cast("long")).withColumns({
+    rows = rows.withColumn("batch_seq", F.explode(times)).withColumns({
+        "batch_seq": F.col("batch_seq").cast("long"),
         "monthly_charges": F.col("monthly_charges") + (F.col("batch_seq") - 1),
         # The file of day 4 has no payment method at all.
         "payment_method": F.when(F.col("k") % 10 != 3, F.col("payment_method")),
