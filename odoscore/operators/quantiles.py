@@ -55,7 +55,8 @@ def exact_percentiles(
         .filter("rank >= _start AND rank < _end")
         .drop("_end")
     )
-    near = _join_groups(values, hit, [*by, "_cell"]).withColumn(
+    # Two rows per percentile and group; without groups that is a fixed handful.
+    near = _join_groups(values, hit if by else F.broadcast(hit), [*by, "_cell"]).withColumn(
         "_fine",
         F.coalesce(
             F.floor(F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")) * FINE_CELLS), F.lit(0)

@@ -57,7 +57,8 @@ def order_cuts(
     hit = placed.select(*by, "_cell", "_start", "_end", F.posexplode("positions").alias("_slot", "_pos")).filter(
         at_zero | inside
     ).drop("_end")
-    edge = rows.join(hit, [*by, "_cell"]).groupBy(*by, "_slot", "_pos", "_start", "_h").agg(F.count("*").alias("_n"))
+    # One row per cut and group: safe to broadcast, so the rows stay where they are.
+    edge = rows.join(F.broadcast(hit), [*by, "_cell"]).groupBy(*by, "_slot", "_pos", "_start", "_h").agg(F.count("*").alias("_n"))
     along = Window.partitionBy(*by, "_slot").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
     last = F.col("_start") + F.sum("_n").over(along)
     cut = edge.withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_n")).filter(
@@ -136,12 +137,14 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train / validation / test), stratified by ``label``.
 
-    Rows without a label get no split.
+    Rows without a label get no split.  The cuts come back as one map from
+    class to hash values, so adding the split moves no row.
     """
     cuts = order_cuts(
         df.filter(F.col(label).isNotNull()), key, seed,
         lambda totals: split_positions(totals, label, validation, test), by=[label],
     )
     names = F.array(F.lit("train"), F.lit("validation"), F.lit("test"))
-    part = part_number(key, seed, F.col("cuts"))
-    return df.join(cuts, label, "left").withColumn("split", F.get(names, part)).drop("cuts").select(*df.columns, "split")
+    by_class = cuts.agg(F.map_from_entries(F.collect_list(F.struct(label, "cuts")))).scalar()
+    part = part_number(key, seed, F.try_element_at("_cuts", F.col(label)))
+    return df.withColumn("_cuts", by_class).withColumn("split", F.get(names, part)).drop("_cuts")

@@ -113,5 +113,6 @@ def drift_issues(checks: DataFrame, stats: DataFrame) -> DataFrame:
     mean has no shift and raises no warning.
     """
     ref = stats.select(F.col("feature").alias("_feature"), F.col("mean").alias("ref_mean"))
-    found = checks.join(ref, (F.col("check") == "drift") & (F.col("name") == F.col("_feature")), "left")
+    # One row per feature.
+    found = checks.join(F.broadcast(ref), (F.col("check") == "drift") & (F.col("name") == F.col("_feature")), "left")
     return found.drop("_feature").withColumn("rel_shift", F.expr(_SHIFT)).withColumn("warning", F.expr(DRIFT_MESSAGE))

@@ -11,11 +11,11 @@ from ..operators.lineage import cut_lineage
 from ..schemas import SNAPSHOT_COLUMNS
 from ..sources.landing import (
     accepted_rows,
+    checked_files,
     discover,
     merge_snapshots,
     read_landing,
     rejected_rows,
-    validate_files,
 )
 from ..sources.tables import append_rows, read_or_none, replace_partitions
 
@@ -58,8 +58,7 @@ def ingest(spark: SparkSession, paths: IngestPaths, batch_seq: int, run_date: st
         return None
     rows, files = read_landing(spark, found)
     rows = rows.withColumn("batch_seq", F.lit(batch_seq).cast("long"))
-    # One row per file; read three times below.
-    status = cut_lineage(validate_files(rows, files), "table")
+    status = checked_files(rows, files)
     before = _rows(read_or_none(spark, paths.processed))
     good = accepted_rows(rows, status)
     if not status.filter("status = 'accepted'").isEmpty():

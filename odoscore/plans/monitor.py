@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut_lineage
 from ..operators.stats import batch_checks, drift_issues, quality_issues
 from ..schemas import DQ_MAX_NULL_RATE
 from ..sources.tables import append_rows, read_or_none
@@ -77,10 +78,11 @@ def with_quarantine(df: DataFrame, stats: DataFrame, batch: list[str]) -> DataFr
     """All rows with ``quarantined``: true when their batch has any issue or warning.
 
     Such a batch is kept out of training and feedback metrics until a person
-    has looked at it.  The rows are read once more and never shuffled by
-    themselves: only the flagged batch names are joined.
+    has looked at it.  The reports are stored first: their size is then known
+    to the planner, which broadcasts them while they are small, and the rows
+    themselves are not shuffled.
     """
-    flagged = monitor_report(df, stats, batch).filter("any_issue_detected")
+    flagged = cut_lineage(monitor_report(df, stats, batch).filter("any_issue_detected"), "table")
     flagged = flagged.select(*[F.col(b).alias(f"_b_{b}") for b in batch], F.lit(True).alias("_flag"))
     same = [F.col(b).eqNullSafe(F.col(f"_b_{b}")) for b in batch]
     return df.join(flagged, same, "left").withColumn(

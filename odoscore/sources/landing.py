@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import typed_snapshot
+from ..operators.lineage import cut_lineage
 from ..operators.stats import missing_sql
 from ..schemas import FILE_MAX_NULL_FRACTION, SNAPSHOT_COLUMNS, SNAPSHOT_KEY, SNAPSHOT_TYPES
 
@@ -93,6 +94,11 @@ def validate_files(
     )
 
 
+def checked_files(rows: DataFrame, files: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """The status table, stored: it is joined several times, and its size is known then."""
+    return cut_lineage(validate_files(rows, files, required), "table")
+
+
 def accepted_rows(rows: DataFrame, status: DataFrame, file: str = "file_name") -> DataFrame:
     return rows.join(status.filter(F.col("status") == "accepted").select(file), file, "left_semi")
 
@@ -112,21 +118,20 @@ def keep_last(df: DataFrame, order: list[str], key: list[str] | None = None) ->
     return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def _same(columns: list[str]) -> list[Column]:
-    return [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns]
-
-
 def merge_snapshots(existing: DataFrame | None, new: DataFrame, order: list[str]) -> DataFrame:
     """New rows merged over the existing ones of the same dates, last row per key.
 
     ``order`` names columns of both sides (batch number first).  Existing rows
-    of untouched dates are not read: the semi-join on the new dates prunes
-    partitions at run time.
+    of untouched dates are not read: the new dates are stored, so the planner
+    knows how few they are and prunes partitions with them at run time.  Rows
+    without a date form one partition and are always merged.
     """
     if existing is None:
         return keep_last(new, order)
-    dates = new.select(F.col("snapshot_date").alias("_t_snapshot_date")).distinct()
-    touched = existing.join(dates, _same(["snapshot_date"]), "left_semi")
+    dates = cut_lineage(new.select("snapshot_date").filter("snapshot_date IS NOT NULL").distinct(), "table")
+    touched = existing.join(dates, "snapshot_date", "left_semi").unionByName(
+        existing.filter("snapshot_date IS NULL")
+    )
     return keep_last(touched.unionByName(new, allowMissingColumns=True), order)
 
 

@@ -18,7 +18,7 @@ from ..plans.ingest import upsert
 from ..plans.score import score
 from ..schemas import ALERT_WINDOW
 from ..session import scratch_path
-from ..sources.landing import accepted_rows, validate_files
+from ..sources.landing import accepted_rows, checked_files, rejected_rows
 
 LATENESS = "10 minutes"
 ONCE = {"availableNow": True}
@@ -90,9 +90,8 @@ def start_ingest(
         spark = batch.sparkSession
         columns = F.array(*[F.lit(c) for c in batch.columns])
         files = batch.select("file_name").distinct().withColumn("columns", columns)
-        status = validate_files(batch, files, required)
-        batch.join(status.filter("status = 'rejected'").select("file_name"), "file_name", "left_semi").write.mode(
-            "overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
+        status = checked_files(batch, files, required)
+        rejected_rows(batch, status).write.mode("overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
         upsert(spark, table, accepted_rows(batch, status))
 
     return (

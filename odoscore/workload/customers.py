@@ -16,7 +16,7 @@ from ..plans.train import standardized_features as standardize_split
 from ..schemas import FEATURES, SNAPSHOT_COLUMNS
 from ..session import scratch_path
 from ..sources.customers import synthesize_customers
-from ..sources.landing import accepted_rows, keep_last, validate_files
+from ..sources.landing import accepted_rows, checked_files, keep_last, validate_files
 from .catalog import query
 from .fragments import CLEAN, CLEAN_COLUMNS, FEATURE_ROWS, SPLIT, STAGED
 from .telemetry import rounded
@@ -147,7 +147,7 @@ SELECT {CLEAN_COLUMNS}, cast(snapshot_date AS string) AS snapshot_date, batch_se
 QUALIFY row_number() OVER (PARTITION BY customer_id, snapshot_date ORDER BY batch_seq DESC) = 1""")
 def ingest_dedup_keep_last(spark, sf_dir):
     rows, files = delivered(spark, sf_dir)
-    good = accepted_rows(rows, validate_files(rows, files))
+    good = accepted_rows(rows, checked_files(rows, files))
     last = keep_last(good.select(*STORED), ["batch_seq", "file_name", "split_start", "row_pos"])
     return last.select(*SNAPSHOT_COLUMNS, "batch_seq").withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
