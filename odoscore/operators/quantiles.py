@@ -20,12 +20,18 @@ def _coarse_cell(value: Column) -> Column:
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, probs: list[float], by: list[str] | None = None, weight: str | None = None
+    df: DataFrame,
+    value: str,
+    probs: list[float],
+    by: list[str] | None = None,
+    weight: str | None = None,
+    fine: bool = True,
 ) -> DataFrame:
     """``by`` columns and ``q``, an array with one percentile per entry of ``probs``.
 
     NULL and NaN are ignored.  ``weight`` names a count column when the input
-    is already counted per value.
+    is already counted per value.  ``fine=False`` leaves out the second step;
+    it suits groups that are limited by themselves, such as short time windows.
     """
     by = by or []
     n = F.count("*") if weight is None else F.sum(weight)
@@ -50,36 +56,24 @@ def exact_percentiles(
         for i, p in enumerate(probs) for side in (0, 1)
     )
     hit = (
-        cells.withColumn("_start", F.col("_end") - F.col("_in"))
-        .select(*by, "_cell", "_start", "_low", "_high", "_end", F.expr(f"inline(array({ranks}))"))
-        .filter("rank >= _start AND rank < _end")
+        cells.withColumn("_base", F.col("_end") - F.col("_in"))
+        .select(*by, "_cell", "_base", "_low", "_high", "_end", F.expr(f"inline(array({ranks}))"))
+        .filter("rank >= _base AND rank < _end")
         .drop("_end")
     )
     # Two rows per percentile and group; without groups that is a fixed handful.
-    near = _join_groups(values, hit if by else F.broadcast(hit), [*by, "_cell"]).withColumn(
-        "_fine",
-        F.coalesce(
-            F.floor(F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")) * FINE_CELLS), F.lit(0)
-        ),
-    )
+    near = _join_groups(values, hit if by else F.broadcast(hit), [*by, "_cell"])
 
     # 2. the fine cell inside it
-    fine = near.groupBy(*by, "slot", "rank", "_start", "_fine").agg(F.sum("_n").alias("_in"))
-    slot_upto = Window.partitionBy(*by, "slot").orderBy("_fine").rowsBetween(Window.unboundedPreceding, 0)
-    fine_hit = (
-        fine.withColumn("_end", F.col("_start") + F.sum("_in").over(slot_upto))
-        .withColumn("_base", F.col("_end") - F.col("_in"))
-        .filter((F.col("rank") >= F.col("_base")) & (F.col("rank") < F.col("_end")))
-        .select(*by, "slot", "_fine", "_base")
-    )
+    if fine:
+        near = _narrow(near, by)
 
     # 3. the value itself
     last = Window.partitionBy(*by, "slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        _join_groups(near, fine_hit, [*by, "slot", "_fine"])
-        .withColumn("_end", F.col("_base") + F.sum("_n").over(last))
-        .filter((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_n")))
+    found = near.withColumn("_end", F.col("_base") + F.sum("_n").over(last)).filter(
+        "rank < _end AND rank >= _end - _n"
     )
+
     def picked(column: str, slot: int) -> str:
         return f"max(CASE WHEN slot = {slot} THEN {column} END)"
 
@@ -90,6 +84,22 @@ def exact_percentiles(
     return found.groupBy(*by).agg(F.expr(f"array({q})").alias("q"))
 
 
+def _narrow(near: DataFrame, by: list[str]) -> DataFrame:
+    """Keep, per wanted rank, the values of the linear sub-cell that holds it."""
+    near = near.withColumn(
+        "_fine", F.expr(f"coalesce(floor(try_divide(_v - _low, _high - _low) * {FINE_CELLS}), 0)")
+    )
+    upto = Window.partitionBy(*by, "slot").orderBy("_fine").rowsBetween(Window.unboundedPreceding, 0)
+    hit = (
+        near.groupBy(*by, "slot", "rank", "_base", "_fine").agg(F.sum("_n").alias("_in"))
+        .withColumn("_end", F.col("_base") + F.sum("_in").over(upto))
+        .withColumn("_base", F.col("_end") - F.col("_in"))
+        .filter("rank >= _base AND rank < _end")
+        .select(*by, "slot", "_fine", "_base")
+    )
+    return _join_groups(near.drop("_base"), hit if by else F.broadcast(hit), [*by, "slot", "_fine"])
+
+
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Equi-join in which NULL group keys match each other."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])

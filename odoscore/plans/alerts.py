@@ -21,7 +21,7 @@ def latency_cells(log: DataFrame, time: str = "started_at", width: str = ALERT_W
 def alerts_from_cells(cells: DataFrame) -> DataFrame:
     """One row per window: requests, errors, error rate, p95 over successes, alert flags."""
     ok = cells.filter(~F.col("is_error"))
-    p95 = exact_percentiles(ok, "latency_ms", [0.95], ["window_start"], weight="n").select(
+    p95 = exact_percentiles(ok, "latency_ms", [0.95], ["window_start"], weight="n", fine=False).select(
         "window_start", F.get("q", F.lit(0)).alias("p95_latency_ms")
     )
     totals = cells.groupBy("window_start").agg(

@@ -16,6 +16,7 @@ from ..sources.landing import (
     merge_snapshots,
     read_landing,
     rejected_rows,
+    touched_dates,
 )
 from ..sources.tables import append_rows, read_or_none, replace_partitions
 
@@ -32,17 +33,20 @@ class IngestPaths:
     quarantine: str
 
 
-def upsert(spark: SparkSession, table: str, new: DataFrame) -> None:
+def upsert(spark: SparkSession, table: str, new: DataFrame) -> int:
     """Merge rows (STORED columns) into the table, rewriting only the dates they touch.
 
     The merged dates are written aside first and then swapped in.  Running the
     same batch again gives the same table, so a job that died half way is
-    simply repeated.
+    simply repeated.  Returns how many rows the table has gained.
     """
+    new = new.select(*STORED)
     existing = read_or_none(spark, table)
-    merged = merge_snapshots(existing, new.select(*STORED), ORDER).select(*STORED)
-    staged = cut_lineage(merged, "table")
+    touched = None if existing is None else touched_dates(existing.select(*STORED), new)
+    staged = cut_lineage(merge_snapshots(touched, new, ORDER), "table")
+    gained = staged.count() - (0 if touched is None else touched.count())
     replace_partitions(staged, table, "snapshot_date")
+    return gained
 
 
 def ingest(spark: SparkSession, paths: IngestPaths, batch_seq: int, run_date: str) -> DataFrame | None:
@@ -59,27 +63,22 @@ def ingest(spark: SparkSession, paths: IngestPaths, batch_seq: int, run_date: st
     rows, files = read_landing(spark, found)
     rows = rows.withColumn("batch_seq", F.lit(batch_seq).cast("long"))
     status = checked_files(rows, files)
-    before = _rows(read_or_none(spark, paths.processed))
-    good = accepted_rows(rows, status)
+    # The log carries the table size on, so the table is not counted again.
+    before = 0 if log is None else log.agg(F.max_by("table_rows_after", "batch_seq")).first()[0]
+    gained = 0
     if not status.filter("status = 'accepted'").isEmpty():
-        upsert(spark, paths.processed, good)
+        gained = upsert(spark, paths.processed, accepted_rows(rows, status))
     if not status.filter("status = 'rejected'").isEmpty():
         append_rows(rejected_rows(rows, status).select(*STORED), paths.quarantine)
-    after = _rows(read_or_none(spark, paths.processed))
     entry = status.select(
         "file_name", "n_rows", "status", "reason",
-        F.lit(before).cast("long").alias("table_rows_before"), F.lit(after).cast("long").alias("table_rows_after"),
+        F.lit(before).cast("long").alias("table_rows_before"), F.lit(before + gained).cast("long").alias("table_rows_after"),
         F.lit(batch_seq).cast("long").alias("batch_seq"), F.lit(run_date).cast("date").alias("run_date"),
     )
     append_rows(entry, paths.log)
     return entry
 
 
-def _rows(table: DataFrame | None) -> int:
-    """Row count; Parquet answers it from file footers."""
-    return 0 if table is None else table.count()
-
-
 def ingest_summary(log: DataFrame) -> DataFrame:
     """Files and rows per run and status."""
     return log.groupBy("batch_seq", "run_date", "status").agg(

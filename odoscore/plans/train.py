@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig, ModelConfig
 from ..functions.cleaning import unusable
 from ..functions.features import features, featureless
+from ..operators.lineage import cut_lineage
 from ..operators.metrics import classification_metrics, long_metrics
 from ..operators.ranking import stratified_split
 from ..operators.stats import feature_stats
@@ -124,24 +125,22 @@ def train_and_evaluate(
 ) -> TrainingRun:
     """Full run.  With ``config.artifact_root`` it also stores models, registry, metrics and statistics."""
     shared_root(spark)      # tree training checkpoints there
-    split = split_features(snapshots, config).persist()
-    try:
-        train = split.filter("split = 'train'")
-        scaler = fit_scaler(train)
-        stages = scaling_stages(scaler)
-        prepared = PipelineModel(stages).transform(train).select(config.label, "scaled").persist()
-        n_train = prepared.count()
-        models = {}
-        for name, spec in (("baseline", config.baseline), ("candidate", config.candidate)):
-            fitted = estimator(spec, config.label, n_train, config.split.seed).fit(prepared)
-            models[name] = PipelineModel([*stages, fitted])
-        prepared.unpersist()
-        # 16 metric rows and 16 statistics rows: kept as local tables, so
-        # nothing below trains or scores twice.
-        metrics = _small(evaluate(models, split.filter("split <> 'train'"), config.label, version))
-        stats = _small(feature_stats(train, version))
-    finally:
-        split.unpersist()
+    # Stored, not cached: read four times, column by column, and safe from lost executors.
+    split = cut_lineage(split_features(snapshots, config), "table")
+    train = split.filter("split = 'train'")
+    scaler = fit_scaler(train)
+    stages = scaling_stages(scaler)
+    prepared = PipelineModel(stages).transform(train).select(config.label, "scaled").persist()
+    n_train = prepared.count()
+    models = {}
+    for name, spec in (("baseline", config.baseline), ("candidate", config.candidate)):
+        fitted = estimator(spec, config.label, n_train, config.split.seed).fit(prepared)
+        models[name] = PipelineModel([*stages, fitted])
+    prepared.unpersist()
+    # 16 metric rows and 16 statistics rows: kept as local tables, so nothing
+    # below trains or scores twice.
+    metrics = _small(evaluate(models, split.filter("split <> 'train'"), config.label, version))
+    stats = _small(feature_stats(train, version))
     decision = promotion_decision(metrics, guard=config.guardrail)
     promoted = decision.first()["promoted_model"]
     if config.artifact_root is not None:

@@ -118,21 +118,28 @@ def keep_last(df: DataFrame, order: list[str], key: list[str] | None = None) ->
     return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def merge_snapshots(existing: DataFrame | None, new: DataFrame, order: list[str]) -> DataFrame:
-    """New rows merged over the existing ones of the same dates, last row per key.
+def touched_dates(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Existing rows of the dates that ``new`` brings; other partitions are not read.
 
-    ``order`` names columns of both sides (batch number first).  Existing rows
-    of untouched dates are not read: the new dates are stored, so the planner
-    knows how few they are and prunes partitions with them at run time.  Rows
-    without a date form one partition and are always merged.
+    The new dates are stored, so the planner knows how few they are and prunes
+    partitions with them at run time; their first and last day prune at
+    planning time.  Rows without a date form one partition and always count as
+    touched.
     """
-    if existing is None:
-        return keep_last(new, order)
     dates = cut_lineage(new.select("snapshot_date").filter("snapshot_date IS NOT NULL").distinct(), "table")
-    touched = existing.join(dates, "snapshot_date", "left_semi").unionByName(
-        existing.filter("snapshot_date IS NULL")
-    )
-    return keep_last(touched.unionByName(new, allowMissingColumns=True), order)
+    low, high = dates.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    span = F.col("snapshot_date").between(F.lit(low), F.lit(high))
+    dated = existing.filter(span).join(dates.filter(span), "snapshot_date", "left_semi")
+    return dated.unionByName(existing.filter("snapshot_date IS NULL")).select(*existing.columns)
+
+
+def merge_snapshots(touched: DataFrame | None, new: DataFrame, order: list[str]) -> DataFrame:
+    """New rows merged over existing rows of the same dates, last row per key.
+
+    ``order`` names columns of both sides, batch number first.
+    """
+    every = new if touched is None else touched.unionByName(new, allowMissingColumns=True)
+    return keep_last(every, order).select(*new.columns)
 
 
 def snapshot_schema(extra: dict[str, str] | None = None) -> str:

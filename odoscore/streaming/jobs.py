@@ -85,14 +85,14 @@ def start_ingest(
     that is replayed after a failure merges to the same table.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        columns = F.array(*[F.lit(c) for c in batch.columns])
-        files = batch.select("file_name").distinct().withColumn("columns", columns)
-        status = checked_files(batch, files, required)
-        rejected_rows(batch, status).write.mode("overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
-        upsert(spark, table, accepted_rows(batch, status))
+        batch.persist()     # read several times below
+        if not batch.isEmpty():
+            columns = F.array(*[F.lit(c) for c in batch.columns])
+            files = batch.select("file_name").distinct().withColumn("columns", columns)
+            status = checked_files(batch, files, required)
+            rejected_rows(batch, status).write.mode("overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
+            upsert(batch.sparkSession, table, accepted_rows(batch, status))
+        batch.unpersist()
 
     return (
         snapshots.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -113,7 +113,9 @@ def start_alerts(
     cells = latency_cells(event_time(log, time).withWatermark(time, lateness), time, width)
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()     # the rule looks at it twice; the state must not be updated twice
         alerts_from_cells(batch).write.mode("overwrite").parquet(f"{table}/stream_batch={batch_id}")
+        batch.unpersist()
 
     return (
         cells.writeStream.foreachBatch(evaluate).outputMode("append").option("checkpointLocation", checkpoint)

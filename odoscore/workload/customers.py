@@ -94,15 +94,12 @@ def delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     spoilt = (
         ((F.col("day") == 5) & (F.col("k") % 10 < 6)) | ((F.col("day") == 7) & (F.col("k") % 10 < 5))
     )
-    first = rows.withColumns({
-        "batch_seq": F.lit(1).cast("long"),
+    times = F.when(F.col("k") % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    every = rows.withColumn("batch_seq", F.explode(times)).withColumns({
+        "batch_seq": F.col("batch_seq").cast("long"),
         "contract_type": F.when(F.col("day") != 3, F.col("contract_type")),
         "payment_method": F.when(~spoilt, F.col("payment_method")),
-    })
-    again = first.filter("k % 20 = 0").withColumns({
-        "batch_seq": F.lit(2).cast("long"), "monthly_charges": F.col("monthly_charges") + 1.0,
-    })
-    every = first.unionByName(again).withColumns({
+        "monthly_charges": F.col("monthly_charges") + (F.col("batch_seq") - 1),
         "file_name": F.format_string("customers_%s_%s.csv", F.col("snapshot_date").cast("string"), F.col("batch_seq").cast("string")),
         "split_start": F.lit(0).cast("long"),
         "row_pos": F.col("k"),

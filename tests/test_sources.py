@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -138,10 +139,21 @@ def test_ingest_end_to_end(spark, tmp_path):
 def test_rows_without_a_date_are_kept_by_merges(spark, customers):
     old = customers({"customer_id": "N1"}).withColumn("batch_seq", F.lit(1))
     new = customers({"customer_id": "N2"}).withColumn("batch_seq", F.lit(2))
-    merged = landing.merge_snapshots(old, new, ["batch_seq"])
+    merged = landing.merge_snapshots(landing.touched_dates(old, new), new, ["batch_seq"])
     assert {r["customer_id"] for r in merged.collect()} == {"N1", "N2"}
 
 
+def test_merge_reads_only_touched_partitions(spark, customers, tmp_path):
+    path = str(tmp_path / "t")
+    days = [{"customer_id": f"C{i}", "snapshot_date": datetime.date(2024, 1, 1 + i % 9)} for i in range(90)]
+    tables.replace_partitions(customers(*days), path, "snapshot_date")
+    new = customers({"snapshot_date": datetime.date(2024, 1, 2)}, {"snapshot_date": datetime.date(2024, 1, 7)})
+    touched = landing.touched_dates(spark.read.parquet(path), new)
+    assert touched.count() == 20
+    plan = lineage.executed_plan(touched)
+    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_keep_last_prunes_before_the_shuffle_and_is_idempotent(spark, customers):
     df = customers(*[{"customer_id": "hot", "monthly_charges": float(i)} for i in range(50)]).withColumn("row_pos", F.col("monthly_charges"))
     last = landing.keep_last(df, ["row_pos"])
