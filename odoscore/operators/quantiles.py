@@ -16,7 +16,7 @@ FINE_CELLS = 4096
 
 
 def _coarse_cell(value: Column) -> Column:
-    return F.signum(value) * F.floor(F.log1p(F.abs(value)) * COARSE_CELLS_PER_E)
+    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * COARSE_CELLS_PER_E)).cast("long")
 
 
 def exact_percentiles(
@@ -30,17 +30,17 @@ def exact_percentiles(
     """``by`` columns and ``q``, an array with one percentile per entry of ``probs``.
 
     NULL and NaN are ignored.  ``weight`` names a count column when the input
-    is already counted per value.  ``fine=False`` leaves out the second step;
+    already has one row per group and value.  ``fine=False`` leaves out the second step;
     it suits groups that are limited by themselves, such as short time windows.
     """
     by = by or []
-    n = F.count("*") if weight is None else F.sum(weight)
-    values = (
-        df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(n.alias("_n"))
-        .withColumn("_cell", _coarse_cell(F.col("_v")))
-    )
+    usable = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
+    v = F.col(value).cast("double").alias("_v")
+    if weight is None:
+        values = usable.groupBy(*by, v).agg(F.count("*").alias("_n"))
+    else:
+        values = usable.select(*by, v, F.col(weight).alias("_n"))
+    values = values.withColumn("_cell", _coarse_cell(F.col("_v")))
 
     # 1. the coarse cell of every wanted rank
     cells = values.groupBy(*by, "_cell").agg(

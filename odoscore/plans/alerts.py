@@ -22,14 +22,15 @@ def alerts_from_cells(cells: DataFrame) -> DataFrame:
     """One row per window: requests, errors, error rate, p95 over successes, alert flags."""
     ok = cells.filter(~F.col("is_error"))
     p95 = exact_percentiles(ok, "latency_ms", [0.95], ["window_start"], weight="n", fine=False).select(
-        "window_start", F.get("q", F.lit(0)).alias("p95_latency_ms")
+        F.col("window_start").alias("_w"), F.get("q", F.lit(0)).alias("p95_latency_ms")
     )
     totals = cells.groupBy("window_start").agg(
         F.sum("n").alias("n_requests"), F.coalesce(F.sum(F.when(F.col("is_error"), F.col("n"))), F.lit(0)).alias("errors")
     )
     rate = F.col("errors") / F.col("n_requests")
     return (
-        totals.join(p95, "window_start", "left")
+        # Null-safe equality adds no filter to one side only, so both sides share the counting shuffle.
+        totals.join(p95, F.col("window_start").eqNullSafe(F.col("_w")), "left").drop("_w")
         .withColumn("error_rate", rate)
         .withColumn("latency_alert", F.coalesce(F.col("p95_latency_ms") > ALERT_P95_MS, F.lit(False)))
         .withColumn("error_alert", rate > ALERT_ERROR_RATE)

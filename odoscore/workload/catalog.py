@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function under its own name; ``sql`` is the DuckDB form of the same result."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function under its own name (or ``name``); ``sql`` is the DuckDB form of the same result."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            CHECKS[fn.__name__] = sql.strip()
+            CHECKS[key] = sql.strip()
         return fn
 
     return register

@@ -36,8 +36,8 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(features(clean(spark, sf_dir), ["customer_id", "churn"]))
 
 
-@query(f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean")
-def clean_customers_table(spark, sf_dir):
+@query(f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean", name="clean_customers")
+def cleaned(spark, sf_dir):
     return clean(spark, sf_dir).drop("snapshot_date")
 
 
@@ -71,8 +71,8 @@ def rejected_rows(spark, sf_dir):
     return rejected.select("customer_id", F.array_join("violations", ",").alias("violations"))
 
 
-@query(f"WITH {STAGED} SELECT customer_id, cast(snapshot_date AS string) AS snapshot_date FROM staged")
-def stage_batches_members(spark, sf_dir):
+@query(f"WITH {STAGED} SELECT customer_id, cast(snapshot_date AS string) AS snapshot_date FROM staged", name="stage_batches")
+def batch_members(spark, sf_dir):
     return staged(spark, sf_dir).select("customer_id", F.col("snapshot_date").cast("string").alias("snapshot_date"))
 
 

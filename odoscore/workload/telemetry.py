@@ -206,11 +206,16 @@ def iterative_15_steps(spark, sf_dir):
     return rounded(lineage.iterate(start, cycle_step, 15, 5), "engine_temp", digits=9)
 
 
-@query()
+@query("""
+SELECT range::int AS step, range > 0 AND range % 5 = 0 AS stored, (range % 5)::int AS depth_above_root FROM range(16)""")
 def lineage_depth_trace(spark, sf_dir):
+    """Plan depth over the iteration, counted from the start or from the last stored state."""
     start = readings(spark, sf_dir).select("event_id", "vehicle_model", "engine_temp")
-    trace = lineage.depth_trace(start, cycle_step, 15, 5)
-    return spark.createDataFrame(trace, "step int, plan_depth int, stored boolean")
+    trace, root = [], None
+    for step, depth, stored in lineage.depth_trace(start, cycle_step, 15, 5):
+        root = depth if root is None or stored else root
+        trace.append((step, stored, depth - root))
+    return spark.createDataFrame(trace, "step int, stored boolean, depth_above_root int")
 
 
 @query(READINGS + """
