@@ -27,9 +27,11 @@ def yes_flag(column: str) -> str:
 
 
 def number(column: str, kind: str) -> str:
-    """Typed parse; failures and NaN become NULL."""
-    parsed = f"try_cast(cast({column} AS string) AS {kind})"
-    return f"nanvl({parsed}, cast(NULL AS double))" if kind == "double" else parsed
+    """Typed parse; failures and NaN become NULL.  Integers may be written as 5 or 5.0."""
+    if kind not in ("int", "double"):
+        return f"try_cast(cast({column} AS string) AS {kind})"
+    parsed = f"nanvl(try_cast(cast({column} AS string) AS double), cast(NULL AS double))"
+    return parsed if kind == "double" else f"try_cast({parsed} AS int)"
 
 
 def number_or_zero(column: str) -> str:

@@ -18,7 +18,8 @@ PREFIX = 4      # hex digits: 65,536 counting cells
 
 
 def hash_order(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """Never NULL (a NULL key counts as empty), so joins on it add no filter and plans share their shuffles."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -69,10 +70,18 @@ def order_cuts(
     return cut.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias("cuts"))
 
 
-def part_number(key: str, seed: int, cuts: Column) -> Column:
-    """0 for rows up to the first cut, 1 up to the second, and so on; NULL without cuts."""
-    own = hash_order(key, seed)
-    return F.when(cuts.isNotNull(), F.size(F.filter(cuts, lambda c: own > c)))
+def with_part(df: DataFrame, key: str, seed: int, cuts: Column, n_cuts: int, name: str) -> DataFrame:
+    """Add the part number: 0 up to the first cut, 1 up to the second, and so on; NULL without cuts.
+
+    The hash is a column of its own and compared cut by cut: inside an array
+    function it would be computed once per cut.
+    """
+    above = " + ".join(f"coalesce(cast(_h > get(_cuts, {i}) AS int), 0)" for i in range(n_cuts))
+    return (
+        df.withColumns({"_h": hash_order(key, seed), "_cuts": cuts})
+        .withColumn(name, F.expr(f"CASE WHEN _cuts IS NOT NULL THEN {above} END"))
+        .drop("_h", "_cuts")
+    )
 
 
 def near_equal_positions(n_parts: int, n_rows: str = "n_rows") -> Column:
@@ -91,11 +100,10 @@ def stage_batches(
     if n_batches == 1:
         return df.withColumn(date_column, F.lit(start_date).cast("date"))
     cuts = order_cuts(df, key, seed, near_equal_positions(n_batches)).select("cuts").scalar()
-    day = F.coalesce(part_number(key, seed, F.col("_cuts")), F.lit(0))
     return (
-        df.withColumn("_cuts", cuts)
-        .withColumn(date_column, F.date_add(F.lit(start_date).cast("date"), day))
-        .drop("_cuts")
+        with_part(df, key, seed, cuts, n_batches - 1, "_day")
+        .withColumn(date_column, F.date_add(F.lit(start_date).cast("date"), F.coalesce("_day", F.lit(0))))
+        .drop("_day")
     )
 
 
@@ -144,7 +152,8 @@ def stratified_split(
         df.filter(F.col(label).isNotNull()), key, seed,
         lambda totals: split_positions(totals, label, validation, test), by=[label],
     )
-    names = F.array(F.lit("train"), F.lit("validation"), F.lit("test"))
     by_class = cuts.agg(F.map_from_entries(F.collect_list(F.struct(label, "cuts")))).scalar()
-    part = part_number(key, seed, F.try_element_at("_cuts", F.col(label)))
-    return df.withColumn("_cuts", by_class).withColumn("split", F.get(names, part)).drop("_cuts")
+    parts = with_part(df, key, seed, F.try_element_at(by_class, F.col(label)), 2, "_part")
+    return parts.withColumn(
+        "split", F.expr("CASE _part WHEN 0 THEN 'train' WHEN 1 THEN 'validation' WHEN 2 THEN 'test' END")
+    ).drop("_part")

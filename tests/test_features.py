@@ -86,6 +86,12 @@ def test_cleaning(spark):
     assert odd["contract_type"] is None and odd["total_charges"] == 0.0 and odd["monthly_charges"] is None
 
 
+def test_integers_may_carry_a_decimal_point(spark):
+    values = {"5": 5, "5.0": 5, " 7 ": 7, "": None, "x": None, "NaN": None, "1e30": None, None: None}
+    for text, want in values.items():
+        assert one(clean_customers(raw_row(spark, tenure=text)))["tenure_months"] == want
+
+
 def test_bad_labels_are_quarantined(spark):
     rows = clean_customers(raw_row(spark, Churn="Maybe").unionByName(raw_row(spark)).unionByName(raw_row(spark, tenure="x")))
     good, bad = split_unusable(rows)

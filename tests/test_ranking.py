@@ -71,6 +71,12 @@ def test_rows_are_not_shuffled_by_the_split(spark, tmp_path):
     assert "Exchange" not in main and "Join" not in main
 
 
+def test_rows_without_a_key_still_get_a_part(spark):
+    df = spark.createDataFrame([(None, 1)] + [(i, 1) for i in range(20)], "customer_id long, churn int")
+    rows = ranking.stratified_split(df).collect()
+    assert len(rows) == 21 and all(r["split"] for r in rows)
+
+
 def test_shuffled_is_a_permutation(spark):
     rows = [r[0] for r in ranking.shuffled(spark.range(50), "id", 7).collect()]
     assert rows == sorted(range(50), key=lambda k: md5(7, k))

@@ -8,11 +8,40 @@ from odoscore.functions.telemetry import cycle_step, with_temperature
 from odoscore.operators import lineage
 from odoscore.plans.ingest import IngestPaths, ingest, ingest_summary
 from odoscore.schemas import SNAPSHOT_COLUMNS
-from odoscore.session import get_spark, scratch_path, shuffle_partitions
+from odoscore.session import get_spark, scratch_path, shared_root, shuffle_partitions
 from odoscore.sources import customers as cust
 from odoscore.sources import landing, tables, telemetry
 
 
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    def __init__(self, master, setting=None, folder=None):
+        self.sparkContext, self.conf = FakeContext(master, folder), self
+        self.setting = setting
+
+    def get(self, name, default):
+        return self.setting or default
+
+
+def test_shared_root_follows_the_cluster_setting():
+    assert shared_root(FakeSession("spark://x", "hdfs:///chk/")) == "hdfs:///chk"
+    assert shared_root(FakeSession("spark://x", None, "hdfs:///set")) == "hdfs:///set"
+    with pytest.raises(RuntimeError):
+        shared_root(FakeSession("spark://x"))
+    local = FakeSession("local[2]")
+    assert shared_root(local) == shared_root(local) == local.sparkContext.folder
+
+
 def write(path, text):
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(text)
