@@ -151,9 +151,14 @@ def hash_partition_sizes(df: DataFrame, columns: list[str], n_partitions: int) -
 
 
 def partition_report(
-    df: DataFrame, key: str, range_column: str, salt_on: list[str], n_partitions: int = 8, n_salts: int = SALT_COUNT
+    df: DataFrame, key: str, range_column: str, salt_on: list[str], n_partitions: int | None = None,
+    n_salts: int = SALT_COUNT,
 ) -> DataFrame:
-    """Input rows per partition under hash, salted hash, range and round-robin placement."""
+    """Input rows per partition under hash, salted hash, range and round-robin placement.
+
+    ``n_partitions`` defaults to the session's shuffle partitions.
+    """
+    n_partitions = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = add_salt(df, salt_on, n_salts)
     parts = {
         "hash": hash_partition_sizes(df, [key], n_partitions),
