@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, word_count
+from .common import read, stored, word_count
 from .histogram_sort import shard_by_bytes
 from .mixing import mix_sources
 from .registry import query
+from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = near_duplicate_groups(stored(with_fingerprint(docs, keep_text=False)))
+    return groups.select("doc_id", fingerprint_text().alias("fingerprint"), "component_id")
 
 
 @query("op3_histogram_sort")
