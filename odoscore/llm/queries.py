@@ -10,6 +10,7 @@ from .histogram_sort import shard_by_bytes
 from .mixing import mix_sources
 from .registry import query
 from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
+from .toxicity import toxicity
 
 
 @query("op2_simhash")
@@ -49,3 +50,9 @@ FROM r
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
