@@ -9,7 +9,9 @@ from .common import read, stored, word_count
 from .histogram_sort import shard_by_bytes
 from .mixing import mix_sources
 from .registry import query
+from .secrets import scan_secrets
 from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
+from .syncmers import compare_with_next
 from .toxicity import toxicity
 
 
@@ -52,6 +54,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_secrets")
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_secrets(docs, keep_text=False).drop("redacted")
+
+
+@query("op8_syncmers")
+def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(read(spark, sf_dir, "documents"))
+
+
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
