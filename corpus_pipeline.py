@@ -1,8 +1,59 @@
-"""Placeholder until its stages exist."""
+"""The training corpus: filter, deduplicate, redact, mix and pack all documents."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from odoscore.llm.common import read, stored
+from odoscore.llm.mixing import mixed_documents
+from odoscore.llm.packing import pack_documents
+from odoscore.llm.secrets import redacted_documents
+from odoscore.llm.simhash import keep_one_per_group
+from odoscore.llm.toxicity import toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score does not reject."""
+    kept = toxicity(docs, read(spark, sf_dir, "labels")).where("predicted = 0")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest doc_id."""
+    return keep_one_per_group(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; a secret is replaced by its kind."""
+    return redacted_documents(docs)
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them, the one at a source's budget cut."""
+    return mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their texts, each in its bin."""
+    return pack_documents(docs, with_text=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_to_weights),
+    ("packing", pack_sequences),
+]
+
+#: Learned scores and fingerprints are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over all documents, each written as Parquet and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir))
+    return docs

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import read, stored, word_count
 from .histogram_sort import shard_by_bytes
 from .mixing import mix_sources
+from .packing import pack_documents
 from .registry import query
 from .secrets import scan_secrets
 from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
@@ -69,3 +70,8 @@ def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"))
