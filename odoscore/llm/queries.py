@@ -12,10 +12,17 @@ from .packing import pack_documents
 from .registry import query
 from .secrets import scan_secrets
 from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
+from .substring_dedup import substring_dedup
 from .syncmers import compare_with_next
 from .toxicity import toxicity
 
 
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs, keep_text=True).drop("deduped")
+
+
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
