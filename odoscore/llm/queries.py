@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read, stored, word_count
 from .histogram_sort import shard_by_bytes
+from .html_wrappers import extract_main_text
 from .mixing import mix_sources
 from .packing import pack_documents
 from .registry import query
@@ -68,6 +69,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(docs, keep_text=False).drop("redacted")
 
 
+@query("op7_html_wrappers")
+def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 @query("op8_syncmers")
 def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(read(spark, sf_dir, "documents"))
