@@ -10,6 +10,7 @@ from .histogram_sort import shard_by_bytes
 from .html_wrappers import extract_main_text
 from .mixing import mix_sources
 from .packing import pack_documents
+from .pivot_topk import exact_top_k
 from .registry import query
 from .secrets import scan_secrets
 from .simhash import fingerprint_text, near_duplicate_groups, with_fingerprint
@@ -63,6 +64,19 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_pivot_topk", """
+WITH e AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v, row_number() OVER () AS uid FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM e q JOIN e c ON q.uid != c.uid AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op5_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op6_secrets")
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
