@@ -190,10 +190,10 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     bound = (F.col("q_norm") + F.col("norm") - gap * gap) / 2
     # Block ranges are dealt over enough keys that no task holds more than some hundreds of them.
     spread = F.lit(n // (256 * BLOCK_ROWS) + 1)
-    ranges = data.select("dim", "cell", "block", "low", "high", "norm", F.pmod(F.xxhash64("cell", "block"), spread).alias("part"))
+    ranges = data.select("dim", "cell", "block", "low", "high", "norm", F.pmod(F.xxhash64("cell", "block"), spread.cast("long")).alias("part"))
     asked_ranges = queries.select("dim", "q_block", "q_low", "q_high", "q_norm", "q_needed")
-    asked_ranges = asked_ranges.withColumn("part", F.explode(F.sequence(F.lit(0), spread - 1)).cast("long"))
-    pairs = ranges.withColumn("part", F.col("part").cast("long")).join(asked_ranges, ["dim", "part"])
+    asked_ranges = asked_ranges.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), spread.cast("long") - 1)))
+    pairs = ranges.join(asked_ranges, ["dim", "part"])
     pairs = pairs.where(bound + F.abs(bound) * _SLACK + 1e-6 >= F.col("q_needed")).select("dim", "cell", "block", "q_block")
     met = pairs.join(data.select("dim", "cell", "block", *arrays), ["dim", "cell", "block"]).join(
         queries.select("dim", "q_block", "q_floors", *[f"q_{c}" for c in arrays]), ["dim", "q_block"]
