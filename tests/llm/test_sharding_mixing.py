@@ -1,0 +1,121 @@
+"""Histogram-sort sharding and source mixing."""
+
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from odoscore.llm.histogram_sort import find_splitters, shard_by_bytes
+from odoscore.llm.mixing import mix_sources, mixed_documents
+
+ROWS = "doc_id long, size long, shard string"
+
+
+def checked_shards(rows, n, **options):
+    out = [r.asDict() for r in shard_by_bytes(rows, n, "size", ["doc_id"], **options).collect()]
+    slots = defaultdict(list)
+    for r in out:
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < n
+        slots[r["shard"]].append(r["slot"])
+    for found in slots.values():
+        assert sorted(found) == list(range(len(found)))
+    return out
+
+
+def test_shards_hold_near_equal_bytes(spark):
+    rows = spark.range(4000).selectExpr("id AS doc_id", "(id * 7919) % 500 + 16 AS size")
+    out = checked_shards(rows, 8)
+    sums = Counter()
+    for r in out:
+        sums[r["shard"]] += r["size"]
+    mean = sum(sums.values()) / 8
+    assert len(out) == 4000 and len(sums) == 8
+    assert all(abs(v - mean) <= 516 + 2e-3 * mean for v in sums.values())
+
+
+def test_cells_within_a_shard_give_the_same_places(spark):
+    rows = spark.range(1000).selectExpr("id AS doc_id", "id % 50 + 16 AS size")
+    place = lambda out: {r["doc_id"]: (r["shard"], r["slot"]) for r in out}
+    assert place(checked_shards(rows, 4)) == place(checked_shards(rows, 4, rows_per_cell=20))
+
+
+def test_a_row_repeated_without_end_is_divided(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS doc_id", "100L AS size")
+    sums = Counter(r["shard"] for r in checked_shards(rows, 6))
+    assert sorted(sums) == list(range(6)) and max(sums.values()) - min(sums.values()) <= 2
+
+
+def test_shard_edge_cases(spark):
+    assert checked_shards(spark.createDataFrame([], ROWS), 5) == []
+    out = checked_shards(spark.createDataFrame([(1, None, "a"), (None, 5, "b"), (1, None, "a")], ROWS), 5)
+    assert sorted(r["size"] for r in out) == [0, 0, 5] and all(isinstance(r["shard"], int) for r in out)
+    assert {r["shard"] for r in checked_shards(spark.createDataFrame([(1, 0, "a"), (2, 0, "a")], ROWS), 5)} == {0}
+
+
+def test_splitters_against_sorted_prefix_sums(spark):
+    rows = spark.range(500).select(F.xxhash64("id").bitwiseAND(F.lit((1 << 60) - 1)).alias("__key"), (F.col("id") % 9 + 1).alias("size"))
+    found = find_splitters(rows, "size", 7, 0.0)
+    pairs = sorted((r["__key"], r["size"]) for r in rows.collect())
+    total = sum(s for _, s in pairs)
+    for j, key in enumerate(found, 1):
+        below = sum(s for k, s in pairs if k < key)
+        assert abs(below - j * total / 7) <= 4.5
+
+
+DOCS = "doc_id long, source string, size long"
+
+
+def water_level(sizes, weights, most=3):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, open_names = {}, sum(sizes.values()), set(names)
+    while open_names:
+        level = left / sum(weight[s] for s in open_names)
+        over = {s for s in open_names if level * weight[s] > most * sizes[s]}
+        if not over:
+            return target | {s: level * weight[s] for s in open_names}
+        target |= {s: most * sizes[s] for s in over}
+        left -= sum(most * sizes[s] for s in over)
+        open_names -= over
+    return target
+
+
+@pytest.mark.parametrize("cell", [100_000, 7])
+def test_mix_meets_targets(spark, cell):
+    rows = [(i, ["a", "b", None, "d"][min(3, i % 11)], i % 13) for i in range(400)]
+    out = mix_sources(spark.createDataFrame(rows, DOCS), rows_per_cell=cell).collect()
+    sizes = Counter()
+    for _, s, n in rows:
+        sizes[s] += n
+    want = water_level(sizes, (1, 2, 3))
+    taken = Counter()
+    for r in out:
+        taken[r["source"]] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]]
+    assert len(out) == 400 and all(taken[s] == int(want[s] + 1e-9) for s in sizes)
+
+
+def test_mix_edge_cases(spark):
+    assert mix_sources(spark.createDataFrame([], DOCS)).count() == 0
+    out = mix_sources(spark.createDataFrame([(1, "a", None), (1, "a", None), (None, None, 0)], DOCS)).collect()
+    assert [r["taken"] for r in out] == [0, 0, 0]
+    clash = spark.createDataFrame([(1, "a", 4, "x")], DOCS + ", TAKEN string")
+    assert mix_sources(clash).columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+
+
+def test_mixed_documents_hold_the_taken_words(spark):
+    rows = [(i, "ab"[i % 2], " ".join(f"w{i}_{j}" for j in range(5 + i)), 0) for i in range(20)] + [(90, "a", None, 0), (91, "b", "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars long")
+    out = mixed_documents(docs).collect()
+    whole = {r[0]: r[2] for r in rows}
+    words = Counter()
+    for r in out:
+        assert whole[r["doc_id"]].startswith(r["text"])
+        words[r["source"]] += len(r["text"].split())
+        assert r["n_chars"] in (0, len(r["text"]))
+    sizes = Counter()
+    for _, s, t, _ in rows:
+        sizes[s] += len((t or "").split())
+    want = water_level(sizes, (1, 2, 3))
+    assert {s: words[s] for s in sizes} == {s: int(want[s] + 1e-9) for s in sizes}
