@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from odoscore.llm.common import read, stored
 from odoscore.llm.mixing import mixed_documents
 from odoscore.llm.packing import pack_documents
 from odoscore.llm.secrets import redacted_documents
 from odoscore.llm.simhash import keep_one_per_group
-from odoscore.llm.toxicity import toxicity
+from odoscore.llm.toxicity import accepted_documents
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score does not reject."""
-    kept = toxicity(docs, read(spark, sf_dir, "labels")).where("predicted = 0")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return accepted_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

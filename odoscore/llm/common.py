@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with the columns of these names renamed, and a function that selects all its columns back under their names."""
+    taken = {name.lower() for name in names}
+    held = {c: f"__held_{i}" if c.lower() in taken else c for i, c in enumerate(df.columns)}
+    renamed = df.select([F.col(f"`{c}`").alias(to) for c, to in held.items()])
+    return renamed, lambda out: out.select([F.col(f"`{to}`").alias(c) for c, to in held.items()])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Rows written once to the shared folder and read from there; survives lost executors."""
     return cut_lineage(df, "table")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored, without, word_count
+from .common import WORD, set_aside, stored, without, word_count
 
 #: 48 bits of an MD5 as a number.
 _KEY_HEX = 12
@@ -101,14 +101,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Sizes are words.  ``n_chars``, if there, follows a cut text.
     """
-    names = docs.columns
-    mixed = mix_sources(docs.withColumn("__size", word_count("text")), size_col="__size", **options)
+    held, restore = set_aside(docs, ADDED)
+    mixed = mix_sources(held.withColumn("__size", word_count("text")), size_col="__size", **options)
     whole = F.when(F.col("__size") > 0, F.floor(F.col("taken") / F.col("__size"))).otherwise(F.lit(0)).cast("int")
     part = F.when(F.col("__size") > 0, F.col("taken") % F.col("__size")).otherwise(F.lit(0)).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
     rows = mixed.withColumn("__part", F.explode(copies))
     cut = F.col("__part") > 0
     rows = rows.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("__part"))).otherwise(F.col("text")))
-    if "n_chars" in names:
+    if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    return restore(rows)

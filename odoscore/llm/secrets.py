@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import set_aside, without
 
 #: The base patterns; a match shorter than the given length (of the named group) does not count.
 KINDS = ("assign", "access", "hex")
@@ -271,8 +271,9 @@ def scan_secrets(docs: DataFrame, keep_text: bool = True) -> DataFrame:
 
 def redacted_documents(docs: DataFrame) -> DataFrame:
     """Every document, its secrets replaced; documents without any stay as they are, and none is dropped."""
-    scanned = scan_secrets(docs).withColumn("text", F.coalesce("redacted", "text"))
+    held, restore = set_aside(docs, ADDED)
+    scanned = scan_secrets(held).withColumn("text", F.coalesce("redacted", "text"))
     if "n_chars" in docs.columns:
         size = F.when(F.col("redacted").isNull(), F.col("n_chars")).otherwise(F.length("text"))
         scanned = scanned.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return scanned.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(scanned)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, without
+from .common import set_aside, stored, without
 
 #: Symbols of the language model ('#' is a word's edge) and the look-alikes of the channel.
 ALPHABET = "#abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -66,7 +66,8 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 texts = [t or "" for t in batch.column(0).slice(start, 200).to_pylist()]
-                codes = _symbols("#" + "#".join(texts) + "#", table)
+                # What comes before an edge does not matter to the model, so texts may follow each other.
+                codes = np.concatenate([[0], _symbols("#" + "#".join(texts) + "#", table)])
                 if len(codes) > 2:
                     total += np.bincount((codes[:-2] * _SIZE + codes[1:-1]) * _SIZE + codes[2:], minlength=_SIZE**3)
         seen = np.nonzero(total)[0]
@@ -245,6 +246,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarra
     return beta
 
 
+ADDED = ["held_out", "score", "predicted"]
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` plus ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 if score >= THRESHOLD).
 
@@ -252,7 +256,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels counts as toxic if one says so.  Without labels of both kinds every score is the smoothed share of
     toxic ones.  A null doc_id is not held out and never trains.
     """
-    docs = without(docs, ["held_out", "score", "predicted"])
+    docs = without(docs, ADDED)
     model = log_model(trigram_counts(docs))
     rows = stored(training_rows(docs, labels))
     weights = learn_weights(rows.where("fold = 0"), model)
@@ -300,3 +304,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.withColumns({
         "held_out": held_out("doc_id"), "predicted": (F.col("score") >= THRESHOLD).cast("int"),
     }).select(*[F.col(f"`{c}`") for c in columns], "held_out", "score", "predicted")
+
+
+def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose score does not reach THRESHOLD, as they are."""
+    held, restore = set_aside(docs, ADDED)
+    return restore(toxicity(held, labels).where("predicted = 0"))
