@@ -67,7 +67,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
             for start in range(0, batch.num_rows, 200):
                 texts = [t or "" for t in batch.column(0).slice(start, 200).to_pylist()]
                 # What comes before an edge does not matter to the model, so texts may follow each other.
-                codes = np.concatenate([[0], _symbols("#" + "#".join(texts) + "#", table)])
+                codes = np.concatenate([[0, 0], _symbols("#" + "#".join(texts) + "#", table)])
                 if len(codes) > 2:
                     total += np.bincount((codes[:-2] * _SIZE + codes[1:-1]) * _SIZE + codes[2:], minlength=_SIZE**3)
         seen = np.nonzero(total)[0]
