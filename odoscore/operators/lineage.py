@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path, shared_root
+from ..session import delete_path, scratch_path, shared_root
 
 
 def lineage_depth(df: DataFrame) -> int:
@@ -34,6 +34,30 @@ def cut_lineage(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     raise ValueError(f"unknown way to cut lineage: {how!r}")
 
 
+class Scratch:
+    """Stored copies of one job; :meth:`release` deletes them once their last reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "stored")
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
 def iterate(
     df: DataFrame,
     step: Callable[[DataFrame, int], DataFrame],

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lineage import cut_lineage
+from ..operators.lineage import Scratch
 from ..schemas import SNAPSHOT_COLUMNS
+from ..session import move_file
 from ..sources.landing import (
     accepted_rows,
     checked_files,
@@ -31,52 +32,65 @@ class IngestPaths:
     processed: str
     log: str
     quarantine: str
+    # Consumed files are moved here, so that the listing stays one delivery; None leaves them.
+    archive: str | None = None
 
 
-def upsert(spark: SparkSession, table: str, new: DataFrame) -> int:
+def upsert(spark: SparkSession, table: str, new: DataFrame) -> None:
     """Merge rows (STORED columns) into the table, rewriting only the dates they touch.
 
-    The merged dates are written aside first and then swapped in.  Running the
-    same batch again gives the same table, so a job that died half way is
-    simply repeated.  Returns how many rows the table has gained.
+    The merged dates are written aside first, swapped in, and deleted.  Running the same batch again gives the
+    same table, so a job that died half way is simply repeated.
     """
     new = new.select(*STORED)
     existing = read_or_none(spark, table)
-    touched = None if existing is None else touched_dates(existing.select(*STORED), new)
-    staged = cut_lineage(merge_snapshots(touched, new, ORDER), "table")
-    gained = staged.count() - (0 if touched is None else touched.count())
-    replace_partitions(staged, table, "snapshot_date")
-    return gained
+    with Scratch(spark) as scratch:
+        touched = None if existing is None else touched_dates(existing.select(*STORED), new, scratch.store)
+        replace_partitions(scratch.store(merge_snapshots(touched, new, ORDER)), table, "snapshot_date")
+
+
+def table_rows(spark: SparkSession, table: str) -> int:
+    """Rows of a table as it stands (from the file footers)."""
+    existing = read_or_none(spark, table)
+    return 0 if existing is None else existing.count()
 
 
 def ingest(spark: SparkSession, paths: IngestPaths, batch_seq: int, run_date: str) -> DataFrame | None:
     """Ingest every file the log does not know; returns the log rows of this run, or None.
 
-    Files named in the log are never read again, whether accepted or rejected.
-    Rejected files keep their rows in the quarantine table.  The log is written
-    last: a run that dies before that repeats harmlessly.
+    A file named in the log with its length and time is never read again, whether accepted or rejected; one that
+    comes again changed is.  Rejected files keep their rows in the quarantine table, in the partition of their
+    batch.  The log is written last: a run that dies before that is repeated with the same ``batch_seq`` and
+    leaves the same table and quarantine.
     """
     log = read_or_none(spark, paths.log)
-    found = [r["path"] for r in discover(spark, paths.incoming, log).select("path").orderBy("path").collect()]
-    if not found:
-        return None
-    rows, files = read_landing(spark, found)
-    rows = rows.withColumn("batch_seq", F.lit(batch_seq).cast("long"))
-    status = checked_files(rows, files)
-    # The log carries the table size on, so the table is not counted again.
-    before = 0 if log is None else log.agg(F.max_by("table_rows_after", "batch_seq")).first()[0]
-    gained = 0
-    if not status.filter("status = 'accepted'").isEmpty():
-        gained = upsert(spark, paths.processed, accepted_rows(rows, status))
-    if not status.filter("status = 'rejected'").isEmpty():
-        append_rows(rejected_rows(rows, status).select(*STORED), paths.quarantine)
-    entry = status.select(
-        "file_name", "n_rows", "status", "reason",
-        F.lit(before).cast("long").alias("table_rows_before"), F.lit(before + gained).cast("long").alias("table_rows_after"),
-        F.lit(batch_seq).cast("long").alias("batch_seq"), F.lit(run_date).cast("date").alias("run_date"),
-    )
-    append_rows(entry, paths.log)
-    return entry
+    with Scratch(spark) as scratch:
+        found = scratch.store(discover(spark, paths.incoming, log))
+        if found.isEmpty():
+            return None
+        rows, files = read_landing(spark, found, scratch)
+        rows = rows.withColumn("batch_seq", F.lit(batch_seq).cast("long"))
+        files = scratch.store(files)
+        status = checked_files(rows, files.select("file_name", "columns"), store=scratch.store)
+        before = table_rows(spark, paths.processed)
+        kinds = {r["status"] for r in status.select("status").distinct().collect()}
+        if "accepted" in kinds:
+            upsert(spark, paths.processed, accepted_rows(rows, status))
+        if "rejected" in kinds:
+            replace_partitions(rejected_rows(rows, status).select(*STORED), paths.quarantine, "batch_seq")
+        entry = status.join(files.drop("columns"), "file_name").select(
+            "file_name", "n_rows", "status", "reason",
+            F.lit(before).cast("long").alias("table_rows_before"),
+            F.lit(table_rows(spark, paths.processed)).cast("long").alias("table_rows_after"),
+            F.lit(batch_seq).cast("long").alias("batch_seq"), F.lit(run_date).cast("date").alias("run_date"),
+            "path", "length", "modified_at",
+        )
+        append_rows(entry, paths.log)
+        if paths.archive is not None:
+            for row in found.select("path", "file_name").collect():
+                move_file(spark, row["path"], f"{paths.archive}/{batch_seq}/{row['file_name']}")
+    written = spark.read.parquet(paths.log)
+    return written.filter(F.col("batch_seq") == batch_seq)
 
 
 def ingest_summary(log: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import typed_snapshot
-from ..operators.lineage import cut_lineage
+from ..operators.lineage import Scratch, cut_lineage
 from ..operators.stats import missing_sql
 from ..schemas import FILE_MAX_NULL_FRACTION, SNAPSHOT_COLUMNS, SNAPSHOT_KEY, SNAPSHOT_TYPES
 
@@ -16,54 +17,84 @@ from ..schemas import FILE_MAX_NULL_FRACTION, SNAPSHOT_COLUMNS, SNAPSHOT_KEY, SN
 POSITION = ["file_name", "split_start", "row_pos"]
 
 
+def _plain(path: str | Column) -> Column:
+    """A path in one form: file metadata come URL-encoded, file listings do not, and local ones differ in slashes."""
+    path = F.col(path) if isinstance(path, str) else path
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def _name(path: str | Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def literal_path(path: str) -> str:
+    """A path whose name may hold glob signs, for the readers."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def discover(spark: SparkSession, folder: str, log: DataFrame | None = None, pattern: str = "*.csv") -> DataFrame:
-    """Files in ``folder`` (path, file_name, length) that the ingest log does not name.
+    """Files in ``folder`` (path, file_name, length, modified_at) that the ingest log does not know.
 
-    Only file status is read: the content column is pruned.
+    A file is known by path, length and modification time, so one that comes again under its name with other
+    content is new.  Only file status is read: the content column is pruned.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select(
+        "path", _name("path").alias("file_name"), "length", F.col("modificationTime").alias("modified_at")
     )
-    return files if log is None else files.join(log.select("file_name").distinct(), "file_name", "left_anti")
+    known = ["path", "length", "modified_at"]
+    return files if log is None else files.join(log.select(*known).distinct(), known, "left_anti")
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of every file: (path, header)."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
+def landing_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of all files with their POSITION: the only scan of the text."""
+    return spark.read.text([literal_path(p) for p in paths]).select(
+        _name(_plain("_metadata.file_path")).alias("file_name"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row_pos"),
         "value",
     )
-    return lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "pos").alias("header"))
 
 
-def read_landing(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(typed rows with POSITION columns, file table (file_name, columns)).
+def file_headers(lines: DataFrame) -> DataFrame:
+    """First line of every file that has one: (file_name, header, header_pos)."""
+    first = lines.filter("split_start = 0").groupBy("file_name").agg(F.min_by(F.struct("value", "row_pos"), "row_pos").alias("h"))
+    return first.select("file_name", F.ltrim(F.col("h.value"), F.lit("\ufeff")).alias("header"), F.col("h.row_pos").alias("header_pos"))
+
 
-    Files are matched by column name.  Those that share a header are read in
-    one scan, so the plan grows with the number of distinct headers only.
+def _columns(header: str) -> list[str]:
+    """Column names of a header; an empty or repeated name gets one that nothing asks for."""
+    names = [c.strip().strip('"') for c in header.split(",")]
+    return [c if c and c not in names[:i] else f"_unnamed_{i}" for i, c in enumerate(names)]
+
+
+def read_landing(spark: SparkSession, found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Discovered files -> (typed rows with POSITION columns, file table (file_name, columns)), both stored.
+
+    The text is parsed once, into stored lines.  Files are matched by column name; those that share a header are
+    typed together, so the plan grows with the number of distinct headers only, and they alone reach the driver.
+    The paths of one delivery do too.  A blank file has no named column; one of no bytes is not listed.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    headers = file_headers(spark, paths)
-    layouts = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    found = scratch.store(found)
+    lines = scratch.store(landing_lines(spark, [r["path"] for r in found.select("path").orderBy("path").collect()]))
+    headers = scratch.store(file_headers(lines))
+    body = lines.join(headers, "file_name").filter(
+        "NOT (split_start = 0 AND row_pos = header_pos) AND trim(value) <> ''"
+    )
     frames = []
-    for layout in layouts:
-        columns = [c.strip().strip('"') for c in layout["header"].lstrip("﻿").split(",")]
-        text = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("header", True).csv(layout["paths"])
-        placed = text.select(
-            "*",
-            F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file_name"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("row_pos"),
-        )
-        frames.append(typed_snapshot(placed, keep=POSITION))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    files = headers.select(
-        name.alias("file_name"), F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit("")))).alias("columns")
+    for row in headers.select("header").distinct().collect():
+        kind = ", ".join(f"`{c}` string" for c in _columns(row["header"]))
+        parsed = body.filter(F.col("header") == row["header"]).select(F.from_csv("value", kind).alias("r"), *POSITION)
+        frames.append(typed_snapshot(parsed.select("r.*", *POSITION), keep=POSITION))
+    if frames:
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    else:
+        rows = spark.createDataFrame([], snapshot_schema({"file_name": "string", "split_start": "bigint", "row_pos": "bigint"}))
+    names = F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    files = found.join(headers, "file_name", "left").select(
+        "file_name", "path", "length", "modified_at", F.coalesce(names, F.array().cast("array<string>")).alias("columns")
     )
-    return rows, files
+    return scratch.store(rows), files
 
 
 def validate_files(
@@ -94,9 +125,13 @@ def validate_files(
     )
 
 
-def checked_files(rows: DataFrame, files: DataFrame, required: list[str] | None = None) -> DataFrame:
+def stored_table(df: DataFrame) -> DataFrame:
+    return cut_lineage(df, "table")
+
+
+def checked_files(rows: DataFrame, files: DataFrame, required: list[str] | None = None, store=stored_table) -> DataFrame:
     """The status table, stored: it is joined several times, and its size is known then."""
-    return cut_lineage(validate_files(rows, files, required), "table")
+    return store(validate_files(rows, files, required))
 
 
 def accepted_rows(rows: DataFrame, status: DataFrame, file: str = "file_name") -> DataFrame:
@@ -118,7 +153,7 @@ def keep_last(df: DataFrame, order: list[str], key: list[str] | None = None) ->
     return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def touched_dates(existing: DataFrame, new: DataFrame) -> DataFrame:
+def touched_dates(existing: DataFrame, new: DataFrame, store=None) -> DataFrame:
     """Existing rows of the dates that ``new`` brings; other partitions are not read.
 
     The new dates are stored, so the planner knows how few they are and prunes
@@ -126,7 +161,7 @@ def touched_dates(existing: DataFrame, new: DataFrame) -> DataFrame:
     planning time.  Rows without a date form one partition and always count as
     touched.
     """
-    dates = cut_lineage(new.select("snapshot_date").filter("snapshot_date IS NOT NULL").distinct(), "table")
+    dates = (store or stored_table)(new.select("snapshot_date").filter("snapshot_date IS NOT NULL").distinct())
     low, high = dates.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     span = F.col("snapshot_date").between(F.lit(low), F.lit(high))
     dated = existing.filter(span).join(dates.filter(span), "snapshot_date", "left_semi")

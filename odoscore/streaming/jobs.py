@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.contract import validate_rows
 from ..functions.telemetry import with_temperature
+from ..operators.lineage import Scratch
 from ..plans.alerts import alerts_from_cells, latency_cells
 from ..plans.ingest import upsert
 from ..plans.score import score
@@ -89,9 +90,10 @@ def start_ingest(
         if not batch.isEmpty():
             columns = F.array(*[F.lit(c) for c in batch.columns])
             files = batch.select("file_name").distinct().withColumn("columns", columns)
-            status = checked_files(batch, files, required)
-            rejected_rows(batch, status).write.mode("overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
-            upsert(batch.sparkSession, table, accepted_rows(batch, status))
+            with Scratch(batch.sparkSession) as scratch:
+                status = checked_files(batch, files, required, scratch.store)
+                rejected_rows(batch, status).write.mode("overwrite").parquet(f"{quarantine}/stream_batch={batch_id}")
+                upsert(batch.sparkSession, table, accepted_rows(batch, status))
         batch.unpersist()
 
     return (

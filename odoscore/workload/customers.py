@@ -9,12 +9,13 @@ from .. import views
 from ..functions.cleaning import clean_customers
 from ..functions.contract import validate_rows
 from ..functions.features import features
+from ..operators.lineage import cut_lineage
 from ..operators.ranking import stage_batches, stratified_split
 from ..operators.stats import feature_stats
 from ..plans.ingest import STORED, IngestPaths, ingest, ingest_summary
 from ..plans.train import standardized_features as standardize_split
 from ..schemas import FEATURES, SNAPSHOT_COLUMNS
-from ..session import scratch_path
+from ..session import delete_path, move_file, scratch_path
 from ..sources.customers import synthesize_customers
 from ..sources.landing import accepted_rows, checked_files, keep_last, validate_files
 from .catalog import query
@@ -150,23 +151,50 @@ def ingest_dedup_keep_last(spark, sf_dir):
 
 
 @query(f"WITH {STAGED}, " + """
-runs AS (
- SELECT 1::bigint AS batch_seq, count(*) FILTER (day(snapshot_date) <= 6)::bigint AS n_rows,
-  0::bigint AS table_rows_before, count(*) FILTER (day(snapshot_date) <= 6)::bigint AS table_rows_after FROM staged
- UNION ALL
- SELECT 2, count(*) FILTER (day(snapshot_date) > 6 OR k % 20 = 0), count(*) FILTER (day(snapshot_date) <= 6), count(*) FROM staged)
-SELECT batch_seq, 'accepted' AS status, n_rows, table_rows_before, table_rows_after FROM runs""")
+days AS (SELECT *, day(snapshot_date) AS d FROM staged),
+sizes AS (SELECT count(*)::bigint AS all_rows, count(*) FILTER (d <= 6)::bigint AS early, count(*) FILTER (d > 6 OR k % 20 = 0)::bigint AS late,
+  count(*) FILTER (d = 1)::bigint AS first_day, count(*) FILTER (d = 2)::bigint AS second_day,
+  round(sum(monthly_charges + CASE WHEN d = 1 THEN 1.0::double ELSE 0.0::double END), 2) AS table_charges FROM days)
+SELECT batch_seq, status, n_rows, table_rows_before, table_rows_after, table_charges, second_day AS quarantine_rows FROM (
+ SELECT 1::bigint AS batch_seq, 'accepted' AS status, early AS n_rows, 0::bigint AS table_rows_before, early AS table_rows_after, * FROM sizes
+ UNION ALL SELECT 2, 'accepted', late, early, all_rows, * FROM sizes
+ UNION ALL SELECT 3, 'accepted', first_day, all_rows, all_rows, * FROM sizes
+ UNION ALL SELECT 3, 'rejected', second_day, all_rows, all_rows, * FROM sizes)""")
 def ingest_log(spark, sf_dir):
-    """Two ingest runs over real CSV files; the second folder content includes the first."""
+    """Three ingest runs over real CSV files.
+
+    The second folder content includes the first.  In the third, the file of day 1 comes again under its name with other
+    charges, and a file of day 2 without payment methods is rejected.
+    """
     root = scratch_path(spark, "ingest")
     paths = IngestPaths(*[f"{root}/{name}" for name in ("incoming", "processed", "log", "quarantine")])
-    rows = staged(spark, sf_dir, ["k"])
-    early = F.dayofmonth("snapshot_date") <= 6
-    for number, part in ((1, early), (2, ~early | (F.col("k") % 20 == 0))):
-        rows.filter(part).select(*SNAPSHOT_COLUMNS).write.mode("append").option("header", True).csv(paths.incoming)
-        ingest(spark, paths, number, "2024-02-01")
+    rows = cut_lineage(staged(spark, sf_dir, ["k"]), "table")
+    day = F.dayofmonth("snapshot_date")
+
+    def deliver(part: DataFrame, name: str | None = None) -> None:
+        target = paths.incoming if name is None else f"{root}/outbox/{name}"
+        out = part.select(*SNAPSHOT_COLUMNS)
+        (out if name is None else out.coalesce(1)).write.mode("append").option("header", True).csv(target)
+        if name is not None:
+            made = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(target).select("path").first()[0]
+            move_file(spark, made, f"{paths.incoming}/{name}")
+
+    first = rows.filter(day == 1)
+    deliver(rows.filter((day > 1) & (day <= 6)))
+    deliver(first, "day 1 + %.csv")
+    ingest(spark, paths, 1, "2024-02-01")
+    deliver(rows.filter((day > 6) | (F.col("k") % 20 == 0)))
+    ingest(spark, paths, 2, "2024-02-02")
+    delete_path(spark, f"{root}/outbox")
+    deliver(first.withColumn("monthly_charges", F.col("monthly_charges") + 1), "day 1 + %.csv")
+    deliver(rows.filter(day == 2).withColumn("payment_method", F.lit(None).cast("string")), "day 2.csv")
+    ingest(spark, paths, 3, "2024-02-03")
     summary = ingest_summary(spark.read.parquet(paths.log))
-    return summary.select("batch_seq", "status", "n_rows", "table_rows_before", "table_rows_after")
+    charges = spark.read.parquet(paths.processed).agg(F.round(F.sum("monthly_charges"), 2)).scalar()
+    held = spark.read.parquet(paths.quarantine).agg(F.count("*")).scalar()
+    return summary.select(
+        "batch_seq", "status", "n_rows", "table_rows_before", "table_rows_after", charges.alias("table_charges"), held.alias("quarantine_rows"),
+    )
 
 
 def _draw(number: int) -> str:

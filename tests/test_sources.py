@@ -165,6 +165,69 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert summary == {(1, "accepted"): (4, 0, 6), (1, "rejected"): (2, 0, 6), (3, "accepted"): (1, 6, 7)}
 
 
+def folder_paths(tmp_path, **more):
+    (tmp_path / "in").mkdir()
+    return IngestPaths(*[str(tmp_path / n) for n in ("in", "processed", "log", "quarantine")], **more)
+
+
+@pytest.mark.parametrize("name", ["a b.csv", "a%20b.csv", "c+d.csv", "ü ß.csv", "e[1]{2}.csv", "100%.csv"])
+def test_odd_file_names(spark, tmp_path, name):
+    paths = folder_paths(tmp_path)
+    write(tmp_path / "in" / name, csv_text(snapshot_line("C1", "2024-01-01")))
+    write(tmp_path / "in" / "blank.csv", "\n")
+    entry = {r["file_name"]: (r["status"], r["n_rows"]) for r in ingest(spark, paths, 1, "2024-01-05").collect()}
+    assert entry == {name: ("accepted", 1), "blank.csv": ("rejected", 0)}
+    assert spark.read.parquet(paths.processed).first()["file_name"] == name
+    assert ingest(spark, paths, 2, "2024-01-06") is None
+
+
+def test_a_file_that_comes_again_is_ingested_again(spark, tmp_path):
+    paths = folder_paths(tmp_path, archive=str(tmp_path / "done"))
+    write(tmp_path / "in" / "a.csv", csv_text(snapshot_line("C1", "2024-01-01", 1.0)))
+    ingest(spark, paths, 1, "2024-01-05")
+    assert not list((tmp_path / "in").glob("*.csv")) and list((tmp_path / "done" / "1").glob("a.csv"))
+    write(tmp_path / "in" / "a.csv", csv_text(snapshot_line("C1", "2024-01-01", 2.0), snapshot_line("C2", "2024-01-01", 3.0)))
+    ingest(spark, paths, 2, "2024-01-06")
+    table = spark.read.parquet(paths.processed)
+    assert {r["customer_id"]: r["monthly_charges"] for r in table.collect()} == {"C1": 2.0, "C2": 3.0}
+
+
+def test_a_run_that_died_before_the_log_is_repeated(spark, tmp_path, monkeypatch):
+    from odoscore.plans import ingest as plan
+
+    paths = folder_paths(tmp_path)
+    write(tmp_path / "in" / "a.csv", csv_text(snapshot_line("C1", "2024-01-01"), snapshot_line("C2", "2024-01-01")))
+    write(tmp_path / "in" / "bad.csv", csv_text(snapshot_line("C3", "2024-01-01", payment=""), snapshot_line("C4", "2024-01-01", payment="")))
+
+    def die(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(plan, "append_rows", die)
+        with pytest.raises(OSError):
+            ingest(spark, paths, 1, "2024-01-05")
+    ingest(spark, paths, 1, "2024-01-05")
+    assert spark.read.parquet(paths.processed).count() == 2 and spark.read.parquet(paths.quarantine).count() == 2
+    log = spark.read.parquet(paths.log).filter("status = 'accepted'").first()
+    assert log["table_rows_after"] == 2
+    write(tmp_path / "in" / "c.csv", csv_text(snapshot_line("C5", "2024-01-02")))
+    ingest(spark, paths, 2, "2024-01-06")
+    last = spark.read.parquet(paths.log).filter("batch_seq = 2").first()
+    assert (last["table_rows_before"], last["table_rows_after"]) == (2, 3)
+
+
+def test_text_is_scanned_once_and_copies_are_deleted(spark, tmp_path, monkeypatch):
+    import glob
+
+    scans, original = [], landing.landing_lines
+    monkeypatch.setattr(landing, "landing_lines", lambda *a: scans.append(1) or original(*a))
+    paths = folder_paths(tmp_path)
+    write(tmp_path / "in" / "a.csv", csv_text(snapshot_line("C1", "2024-01-01")))
+    before = set(glob.glob(f"{shared_root(spark)}/stored-*".removeprefix("file:")))
+    ingest(spark, paths, 1, "2024-01-05")
+    assert len(scans) == 1 and set(glob.glob(f"{shared_root(spark)}/stored-*".removeprefix("file:"))) == before
+
+
 def test_rows_without_a_date_are_kept_by_merges(spark, customers):
     old = customers({"customer_id": "N1"}).withColumn("batch_seq", F.lit(1))
     new = customers({"customer_id": "N2"}).withColumn("batch_seq", F.lit(2))
