@@ -13,16 +13,15 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import step_up, stored
 
 K, S, MOST = 16, 6, 64
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: Code points that are hashed at once.
-_CHUNK = 1 << 20
+#: Code points that are hashed at once, documents that are compared at once, and ranges of ids per shuffle partition.
+_CHUNK, _ROWS, _RANGES = 1 << 18, 300, 4
 
 Sketch = list[tuple[int, int]]
 
@@ -133,22 +132,38 @@ def likeness(a: Sketch, b: Sketch) -> float:
 
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _NAMES = [f.split()[0] for f in _RESULT.split(", ")]
-_EDGE = "part int, first_text string, last_text string"
 
 
-def _compared(ids: list, texts: list[str], following: list[str]) -> list[pa.Array]:
-    """Result columns for documents and the documents that follow them."""
+def _compared(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
+    """Result rows for documents and the documents that follow them."""
     edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(texts, following)]
     # A text mostly is its predecessor's successor: its fingerprint is made once.
     unique = list(dict.fromkeys([*texts, *following]))
     known = dict(zip(unique, sketches(unique)))
     own, changed, after = [known[t] for t in texts], sketches(edited), [known[t] for t in following]
-    return [
+    return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
         pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited]),
         pa.array([written(s) for s in own]), pa.array([written(s) for s in changed]),
         pa.array([likeness(a, b) for a, b in zip(own, changed)]), pa.array([likeness(a, b) for a, b in zip(own, after)]),
-    ]
+    ], names=_NAMES)
+
+
+def _walk(batches):
+    """range, last, doc_id, text in order -> results; ``last`` rows only end a range and are no documents of it."""
+    held: tuple | None = None
+    for whole in batches:
+        for start in range(0, whole.num_rows, _ROWS):
+            part = whole.slice(start, _ROWS)
+            ids, texts, following = [], [], []
+            for last, doc_id, text in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+                if held is not None:
+                    ids.append(held[0])
+                    texts.append(held[1])
+                    following.append(text)
+                held = None if last else (doc_id, text)
+            if ids:
+                yield _compared(ids, texts, following)
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -157,48 +172,26 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     Null text is empty.  The order is by doc_id, null last, rows of one id by text; after the last comes the first, and a
     single row follows itself.  An empty table gives an empty result.
 
-    One exchange sorts the documents by range; each task walks its range and keeps back its last row, whose
-    follower is the first row of the next range that has any.  Those few rows are joined by range number.
+    Ids are cut into ranges of near-equal counts.  The first text of a range is also sent to the range before it,
+    where it ends the walk, so one exchange brings every document together with its follower and every range
+    can be walked, and walked again, by itself.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    ranged = rows.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
-
-    def walk(batches):
-        first, held = None, None
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                part = whole.slice(start, 500)
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                if held is None:
-                    first = texts[0]
-                else:
-                    ids, texts = [held[0], *ids], [held[1], *texts]
-                held = ids[-1], texts[-1]
-                if len(texts) > 1:
-                    done = _compared(ids[:-1], texts[:-1], texts[1:])
-                    none = pa.nulls(len(texts) - 1)
-                    edges = [none.cast(pa.int32()), none.cast(pa.string()), none.cast(pa.string())]
-                    yield pa.RecordBatch.from_arrays([*done, *edges], names=[*_NAMES, "part", "first_text", "last_text"])
-        if held is not None:
-            kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
-            last = [pa.array([held[0]], pa.int64()), *(pa.nulls(1).cast(k) for k in kinds[1:])]
-            at = pa.array([TaskContext.get().partitionId()], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*last, at, pa.array([first]), pa.array([held[1]])], names=[*_NAMES, "part", "first_text", "last_text"]
-            )
-
-    walked = stored(ranged.mapInArrow(walk, f"{_RESULT}, {_EDGE}"))
-    edges = walked.where("part IS NOT NULL")
-    numbers = edges.select("part").withColumn("following", F.lead("part").over(Window.orderBy("part")))
-    lowest = edges.agg(F.min("part").alias("lowest"))
-    numbers = numbers.join(F.broadcast(lowest)).select("part", F.coalesce("following", "lowest").alias("following"))
-    firsts = edges.select(F.col("part").alias("following"), F.col("first_text").alias("next_text"))
-    open_rows = edges.join(numbers, "part").join(firsts, "following").select("doc_id", "last_text", "next_text")
-
-    def close(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(_compared(*(c.to_pylist() for c in batch.columns)), names=_NAMES)
-
-    return walked.where("part IS NULL").select(*_NAMES).union(open_rows.mapInArrow(close, _RESULT))
+    ranges = _RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, F.lit(20 * ranges))).first()[0] or []))
+    # Null ids make the last range.
+    at = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.expr(step_up("doc_id", cuts))).cast("int")
+    ranged = rows.withColumn("range", at)
+    firsts = stored(ranged.groupBy("range").agg(F.min("doc_id").alias("first_id")))
+    before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy()))
+    # One row per range: its number is set by the shuffle partitions, not by the data.
+    ends = F.broadcast(firsts.select("range", "first_id", before.alias("before")))
+    starts = ranged.join(ends, "range").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    ending = starts.groupBy("before").agg(F.min("text").alias("text"))
+    both = ranged.select("range", F.lit(False).alias("last"), "doc_id", "text").union(
+        ending.select(F.col("before").alias("range"), F.lit(True), F.lit(None).cast("long"), "text")
+    )
+    order = ["range", "last", F.col("doc_id").asc_nulls_last(), "text"]
+    return both.repartition("range").sortWithinPartitions(*order).mapInArrow(_walk, _RESULT)
