@@ -1,4 +1,4 @@
-"""Skew: salted aggregation, distinct and join, amplification, partition reports.
+"""Skew: salted aggregation, distinct and join, amplification, key balance.
 
 A salt is a hash of columns that tell rows apart, never a random number: a
 retried task must send each row to the partition it went to before.
@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SALT_COUNT
+from .lineage import cut_lineage
+
+#: A key with fewer rows is no burden to a task, whatever its share.
+HOT_ROWS = 1_000_000
 
 
 def salt(columns: list[str], n_salts: int = SALT_COUNT) -> Column:
@@ -83,11 +87,17 @@ def salted_distinct(df: DataFrame, keys: list[str], value: str, name: str = "n_d
     return pairs.groupBy(*keys).agg(F.count(value).alias(name))
 
 
-def heavy_keys(df: DataFrame, keys: list[str], min_share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``min_share`` of the rows: at most 1/min_share of them."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total * F.lit(min_share)).select(*keys)
+def heavy_keys(df: DataFrame, keys: list[str], n_partitions: int | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+    """(keys..., n_rows, n_salts) of the keys with more rows than one task should get.
+
+    A task's fair part is the row count over ``n_partitions`` (default: the session's shuffle partitions), and at least
+    ``min_rows``.  There are fewer hot keys than partitions, and ``n_salts`` parts of a hot key are fair again.
+    """
+    n_partitions = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    fair = F.greatest(counts.agg(F.sum("n_rows")).scalar() / F.lit(n_partitions), F.lit(min_rows))
+    hot = counts.withColumn("_fair", fair).filter(F.col("n_rows") > F.col("_fair"))
+    return hot.select(*keys, "n_rows", F.ceil(F.col("n_rows") / F.col("_fair")).cast("int").alias("n_salts"))
 
 
 def salted_join(
@@ -96,27 +106,31 @@ def salted_join(
     keys: list[str],
     salt_on: list[str],
     how: str = "inner",
-    n_salts: int = SALT_COUNT,
-    min_share: float = 0.01,
+    hot: DataFrame | None = None,
+    n_partitions: int | None = None,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join that splits only the hot keys of ``big``.
 
-    Rows of a hot key get a salt from ``salt_on`` (columns of ``big`` that
-    differ within the key); the matching rows of ``small`` are repeated once
-    per salt.  All other keys keep salt 0 and are not repeated.  The hot-key
-    table is broadcast: it has at most ``1/min_share`` rows by construction.
-    ``how`` is inner, left, left_semi or left_anti.
+    Rows of a hot key get one of its salts from ``salt_on`` (columns of ``big`` that differ within the key); the matching rows
+    of ``small`` are repeated once per salt.  All other keys keep salt 0.  Where nothing is hot the join is the plain one.
+    ``hot`` is a table as :func:`heavy_keys` makes it, if one is known; else the keys are counted first.  It has
+    fewer rows than there are partitions, so it is broadcast.  ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the big side on the left: {how!r} is not supported")
-    hot = F.broadcast(heavy_keys(big, keys, min_share).withColumn("_hot", F.lit(True)))
-    # A NULL key matches nothing, so its rows may be spread as well.
+    if hot is None:
+        hot = cut_lineage(heavy_keys(big, keys, n_partitions, min_rows), "table")
+    # A NULL key matches nothing, so its rows may be spread as widely as the widest key.
+    widest = hot.agg(F.max("n_salts")).first()[0]
+    if widest is None:
+        return big.join(small, keys, how)
+    salts = F.broadcast(hot.select(*keys, F.col("n_salts").alias("_n")))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    big_salted = big.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt(salt_on, n_salts)).otherwise(0)
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n_salts - 1))).otherwise(F.array(F.lit(0)))
-    small_copied = small.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    parts = F.when(no_key, F.lit(widest)).otherwise(F.coalesce("_n", F.lit(1)))
+    big_salted = big.join(salts, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_on), parts).cast("int")).drop("_n")
+    copies = F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)
+    small_copied = small.join(salts, keys, "left").withColumn("_salt", F.explode(copies)).drop("_n")
     return big_salted.join(small_copied, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -141,33 +155,15 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count("*").alias("n_rows"))
 
 
-def hash_partition_sizes(df: DataFrame, columns: list[str], n_partitions: int) -> DataFrame:
-    """Rows each reducer would get from ``repartition(n_partitions, columns)``.
-
-    Uses the shuffle's own hash, so nothing but partial counts is moved.
-    """
-    target = F.pmod(F.hash(*columns), F.lit(n_partitions)).alias("partition_id")
-    return df.groupBy(target).agg(F.count("*").alias("n_rows"))
-
+def stable_salt(columns: list[str], n_salts: int = SALT_COUNT) -> Column:
+    """A salt that other engines can compute too: from the MD5 of the columns' text."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in columns])
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % n_salts).cast("int")
 
-def partition_report(
-    df: DataFrame, key: str, range_column: str, salt_on: list[str], n_partitions: int | None = None,
-    n_salts: int = SALT_COUNT,
-) -> DataFrame:
-    """Input rows per partition under hash, salted hash, range and round-robin placement.
 
-    ``n_partitions`` defaults to the session's shuffle partitions.
-    """
-    n_partitions = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = add_salt(df, salt_on, n_salts)
-    parts = {
-        "hash": hash_partition_sizes(df, [key], n_partitions),
-        "salted_hash": hash_partition_sizes(salted, [key, "salt"], n_partitions),
-        "range": partition_sizes(df.select(range_column).repartitionByRange(n_partitions, range_column)),
-        "round_robin": partition_sizes(df.select(key).repartition(n_partitions)),
-    }
-    out = None
-    for name, sizes in parts.items():
-        rows = sizes.select(F.lit(name).alias("strategy"), "partition_id", "n_rows")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def key_balance(df: DataFrame, key: str, salt_on: list[str], n_salts: int = SALT_COUNT) -> DataFrame:
+    """What salting does to the largest group: per key its rows, and the rows of its largest and smallest (key, salt)."""
+    salted = df.groupBy(key, stable_salt(salt_on, n_salts).alias("salt")).agg(F.count("*").alias("n"))
+    return salted.groupBy(key).agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("n_salts"), F.max("n").alias("largest_part"), F.min("n").alias("smallest_part")
+    )

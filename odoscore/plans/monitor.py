@@ -70,10 +70,20 @@ def run_monitor(spark: SparkSession, recent: DataFrame, stats_path: str, report_
     report = monitor_report(recent, stats.filter(F.col("version") == newest)).withColumn(
         "checked_at", F.current_timestamp()
     )
+    # One row per batch: stored before it is appended, so that the caller sees what the table has.
+    report = cut_lineage(report, "table")
     append_rows(report, report_path)
     return report
 
 
+def accepted_batches(df: DataFrame, quarantined: DataFrame | None) -> DataFrame:
+    """The rows whose batch is not among ``quarantined`` (null-safe on its columns); None quarantines nothing."""
+    if quarantined is None:
+        return df
+    held = quarantined.select(*[F.col(c).alias(f"_q_{c}") for c in quarantined.columns]).distinct()
+    return df.join(held, [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in quarantined.columns], "left_anti")
+
+
 def with_quarantine(df: DataFrame, stats: DataFrame, batch: list[str]) -> DataFrame:
     """All rows with ``quarantined``: true when their batch has any issue or warning.
 

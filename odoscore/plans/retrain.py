@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_metrics
-from ..schemas import RETRAIN_MAX_AUC_DROP, RETRAIN_MAX_DAYS
+from ..schemas import FEEDBACK_MIN_AUC, RETRAIN_MAX_AUC_DROP, RETRAIN_MAX_DAYS
 from ..sources.tables import latest_entry
+from .monitor import accepted_batches
 
 
 def _three(column: Column) -> Column:
@@ -42,18 +43,25 @@ def retrain_decisions(signals: DataFrame) -> DataFrame:
     )
 
 
+def feedback_alerts(signals: DataFrame, floor: float = FEEDBACK_MIN_AUC) -> DataFrame:
+    """Add ``auc_alert``: the AUC on labelled feedback is known and below the floor."""
+    low = F.round("recent_labeled_auc", 10) < floor
+    return signals.withColumn("auc_alert", F.coalesce(low, F.lit(False)))
+
+
 def gather_signals(
     registry: DataFrame, feedback: DataFrame, reports: DataFrame, as_of, group: list[str],
-    label: str = "label", score: str = "score",
+    label: str = "label", score: str = "score", quarantined: DataFrame | None = None,
 ) -> DataFrame:
     """Signals per model group: newest registry entry, AUC on feedback, newest report.
 
     ``registry`` has (group..., trained_at, promoted_auc), ``feedback``
     (group..., label, score), ``reports`` (group..., checked_at,
-    drift_warnings).  ``as_of`` is the decision date.
+    drift_warnings).  ``as_of`` is the decision date.  Feedback of the batches that
+    ``quarantined`` names does not count.
     """
     newest = latest_entry(registry, "trained_at", group)
-    recent = classification_metrics(feedback, label, score, group).select(
+    recent = classification_metrics(accepted_batches(feedback, quarantined), label, score, group).select(
         *group, F.col("roc_auc").alias("recent_labeled_auc")
     )
     drift = latest_entry(reports, "checked_at", group).select(

@@ -6,11 +6,34 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.contract import validate_rows
 from ..functions.features import features
 from ..schemas import DECISION_THRESHOLD
 from .train import positive_probability
 
 
+REJECT_COLUMNS = ["violations", "model_version"]
+
+
+def score_or_reject(
+    df: DataFrame, model: PipelineModel, version: str, promoted: str, keep: list[str], received_at: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(predictions, rejected payloads with their violations): every input row is in one of the two."""
+    valid, rejected = validate_rows(df)
+    return (
+        score(valid, model, version, promoted, keep, received_at),
+        rejected.withColumn("model_version", F.lit(version)).select(*keep, *REJECT_COLUMNS),
+    )
+
+
+def write_scores(
+    df: DataFrame, table: str, rejects: str, model: PipelineModel, version: str, promoted: str, keep: list[str], batch: int = 0
+) -> None:
+    """Both halves as the partition ``batch`` of their tables; running a batch again replaces its rows."""
+    for rows, path in zip(score_or_reject(df, model, version, promoted, keep), (table, rejects)):
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def score(
     df: DataFrame,
     model: PipelineModel,

@@ -21,7 +21,8 @@ from ..operators.ranking import stratified_split
 from ..operators.stats import feature_stats
 from ..schemas import FEATURES
 from ..session import shared_root
-from ..sources.tables import append_rows, export_json, latest_entry, read_or_none, registry_entry
+from ..sources.tables import export_json, latest_entry, read_or_none, registry_entry, replace_partitions
+from .monitor import accepted_batches
 from .promotion import promotion_decision
 
 Scaler = dict[str, tuple[float, float]]
@@ -43,6 +44,15 @@ def trainable(label: str = "churn") -> Column:
     return ~unusable(label) & ~featureless() & charges[0] & charges[1]
 
 
+def untrainable_rows(snapshots: DataFrame, config: JobConfig, version: str) -> DataFrame:
+    """The rows training leaves out: key, reason, version."""
+    missing = [
+        F.when(F.col(c).isNull() | F.isnan(c), F.lit(f"no {c}")) for c in ("monthly_charges", "total_charges")
+    ]
+    reasons = F.concat_ws("; ", F.when(unusable(config.label), F.lit("no usable label")), F.when(featureless(), F.lit("tenure out of range")), *missing)
+    return snapshots.filter(~trainable(config.label)).select(config.key, reasons.alias("reason"), F.lit(version).alias("version"))
+
+
 def split_features(snapshots: DataFrame, config: JobConfig) -> DataFrame:
     """Key, label, the 16 features and ``split``."""
     frame = features(snapshots.filter(trainable(config.label)), [config.key, config.label])
@@ -121,10 +131,16 @@ def evaluate(models: dict[str, PipelineModel], held_out: DataFrame, label: str,
 
 
 def train_and_evaluate(
-    spark: SparkSession, snapshots: DataFrame, version: str, trained_at: str, config: JobConfig = JobConfig()
+    spark: SparkSession, snapshots: DataFrame, version: str, trained_at: str, config: JobConfig = JobConfig(),
+    quarantined: DataFrame | None = None,
 ) -> TrainingRun:
-    """Full run.  With ``config.artifact_root`` it also stores models, registry, metrics and statistics."""
+    """Full run.  With ``config.artifact_root`` it also stores models, registry, metrics, statistics and rejected rows.
+
+    Rows of the batches that ``quarantined`` names (by the columns it has) take no part.  The stored outputs are
+    partitions of their version: a run that is repeated replaces its own.
+    """
     shared_root(spark)      # tree training checkpoints there
+    snapshots = accepted_batches(snapshots, quarantined)
     # Stored, not cached: read four times, column by column, and safe from lost executors.
     split = cut_lineage(split_features(snapshots, config), "table")
     train = split.filter("split = 'train'")
@@ -146,11 +162,12 @@ def train_and_evaluate(
     if config.artifact_root is not None:
         for name, model in models.items():
             model.write().overwrite().save(config.table(f"models/{version}/{name}"))
-        append_rows(metrics, config.table("model_eval"))
-        append_rows(stats, config.table("feature_stats"))
         entry = registry_entry(metrics, decision, config, trained_at, version)
         export_json(entry, config.table(f"reports/{version}"))
-        append_rows(entry, config.table("model_registry"))
+        rejected = untrainable_rows(snapshots, config, version)
+        tables = {"model_eval": metrics, "feature_stats": stats, "train_rejects": rejected, "model_registry": entry}
+        for name, rows in tables.items():
+            replace_partitions(rows, config.table(name), "version")
     return TrainingRun(version, models, metrics, decision, stats, promoted)
 
 

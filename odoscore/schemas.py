@@ -90,6 +90,7 @@ DQ_RANGES = {"monthly_charges": (0, 1000), "tenure_months": (0, 600)}
 DRIFT_MAX_MEAN_SHIFT = 0.20
 RETRAIN_MAX_DAYS = 14
 RETRAIN_MAX_AUC_DROP = 0.03
+FEEDBACK_MIN_AUC = 0.80
 DECISION_THRESHOLD = 0.5
 ALERT_P95_MS = 300.0
 ALERT_ERROR_RATE = 0.02

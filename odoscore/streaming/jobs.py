@@ -13,10 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.contract import validate_rows
 from ..functions.telemetry import with_temperature
-from ..operators.lineage import Scratch
+from ..operators.lineage import Scratch, cut_lineage
 from ..plans.alerts import alerts_from_cells, latency_cells
-from ..plans.ingest import upsert
-from ..plans.score import score
+from ..plans.ingest import IngestPaths, ingest, upsert
+from ..plans.score import score, write_scores
 from ..schemas import ALERT_WINDOW
 from ..session import scratch_path
 from ..sources.landing import accepted_rows, checked_files, rejected_rows
@@ -43,8 +43,7 @@ def average_temperature(
 ) -> DataFrame:
     """Average temperature and readings per model and window; a window comes out once, when it closes.
 
-    Readings behind the watermark are dropped here; the batch aggregate over
-    the stored readings is the correction path.
+    Readings behind the watermark are dropped here; :func:`corrected_averages` mends their windows from the lake.
     """
     return (
         with_temperature(event_time(readings, time))
@@ -125,6 +124,78 @@ def start_alerts(
     )
 
 
+def start_scores(
+    payloads: DataFrame, table: str, rejects: str, checkpoint: str, model: PipelineModel, version: str, promoted: str, keep: list[str],
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Score every micro-batch and keep its rejected payloads with their violations; a replay overwrites its own rows."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_scores(batch, table, rejects, model, version, promoted, keep, batch_id)
+
+    return (
+        payloads.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
+    )
+
+
+def start_landing(
+    spark: SparkSession, paths: IngestPaths, run_date: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Ingest customer files as they land: headers checked, log rows written, rejected files kept.
+
+    The stream only tells that files have come; each micro-batch runs the ingest job, whose log says what is new.
+    """
+    landed = spark.readStream.format("text").option("pathGlobFilter", "*.csv").option("wholetext", True).load(paths.incoming)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        ingest(batch.sparkSession, paths, batch_id + 1, run_date)
+
+    # No column of the files is read here.
+    return (
+        landed.select(F.lit(1).alias("landed")).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or ONCE)).start()
+    )
+
+
+class Flush:
+    """A second source for a windowed stream, which closes the windows still open when the first one ends.
+
+    Its only row lies a day after the latest one, so the watermark passes all real windows and its own stays open.
+    """
+
+    def __init__(self, stream: DataFrame):
+        self.spark, self.schema = stream.sparkSession, stream.schema
+        self.folder = scratch_path(self.spark, "flush")
+        self.spark.createDataFrame([], self.schema).write.parquet(self.folder)
+        self.stream = stream.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
+
+    def push(self, time: str, latest, **values) -> None:
+        row = self.spark.range(1).select(*[
+            (F.lit(latest) + F.expr("INTERVAL 1 DAY") if f.name == time else F.lit(values.get(f.name))).cast(f.dataType).alias(f.name)
+            for f in self.schema
+        ])
+        row.write.mode("append").parquet(self.folder)
+
+
+def late_windows(late: DataFrame, time: str = "event_ts", width: str = ALERT_WINDOW) -> DataFrame:
+    """The windows that late rows belong to: (window_start)."""
+    return event_time(late, time).select(F.window(time, width).start.alias("window_start")).distinct()
+
+
+def corrected_averages(
+    emitted: DataFrame, lake: DataFrame, late: DataFrame, time: str = "event_ts", width: str = ALERT_WINDOW
+) -> DataFrame:
+    """The stream's windows with those that late rows touch aggregated again from the lake, which has all rows.
+
+    Other windows are left as they are; of the lake, only the touched days are read and only touched windows grouped.
+    """
+    touched = cut_lineage(late_windows(late, time, width), "table")
+    low, high = touched.agg(F.min("window_start"), F.max("window_start") + F.expr(f"INTERVAL {width}")).first()
+    rows = with_temperature(event_time(lake, time)).filter((F.col(time) >= F.lit(low)) & (F.col(time) < F.lit(high)))
+    rows = rows.withColumn("window_start", F.window(time, width).start).join(touched, "window_start", "left_semi")
+    again = rows.groupBy("window_start", "vehicle_model").agg(F.avg("engine_temp").alias("avg_engine_temp"), F.count("*").alias("n_records"))
+    return emitted.join(touched, "window_start", "left_anti").unionByName(again.select(*emitted.columns))
+
+
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Drain a stream into a new table under the shared folder and read it back."""
     spark = stream.sparkSession

@@ -13,7 +13,7 @@ from ..operators.lineage import cut_lineage
 from ..operators.ranking import stage_batches, stratified_split
 from ..operators.stats import feature_stats
 from ..plans.ingest import STORED, IngestPaths, ingest, ingest_summary
-from ..plans.train import standardized_features as standardize_split
+from ..plans.train import fit_scaler, standardize
 from ..schemas import FEATURES, SNAPSHOT_COLUMNS
 from ..session import delete_path, move_file, scratch_path
 from ..sources.customers import synthesize_customers
@@ -105,6 +105,7 @@ def delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         "split_start": F.lit(0).cast("long"),
         "row_pos": F.col("k"),
     })
+    every = cut_lineage(every, "table")
     headers = F.array(*[F.lit(c) for c in SNAPSHOT_COLUMNS])
     files = every.select("file_name", "day").distinct().select(
         "file_name",
@@ -258,7 +259,7 @@ _STATS_SQL = " UNION ALL ".join(
 
 @query(f"WITH {SPLIT}, train AS (SELECT * FROM split_rows WHERE split = 'train') {_STATS_SQL}")
 def feature_reference_stats(spark, sf_dir):
-    stats = feature_stats(split(spark, sf_dir).filter("split = 'train'"), "v1")
+    stats = feature_stats(cut_lineage(split(spark, sf_dir), "table").filter("split = 'train'"), "v1")
     return rounded(stats.drop("version"), "mean", "std")
 
 
@@ -271,6 +272,7 @@ _Z_STATS = ", ".join(
 @query(f"WITH {SPLIT}, z AS (SELECT {_Z_STATS} FROM split_rows WHERE split = 'train') "
        f"SELECT customer_id, split, {_Z} FROM split_rows, z")
 def standardized_features(spark, sf_dir):
-    scaled = standardize_split(split(spark, sf_dir), ["customer_id", "split"])
+    rows = cut_lineage(split(spark, sf_dir), "table")
+    scaled = standardize(rows, fit_scaler(rows.filter("split = 'train'")), ["customer_id", "split"])
     # + 0.0 turns a rounded -0.0 into 0.0.
     return scaled.withColumns({f: F.round(f, 6) + F.lit(0.0) for f in FEATURES})

@@ -11,23 +11,51 @@ from ..schemas import SNAPSHOT_COLUMNS
 from ..session import scratch_path
 from ..streaming import jobs
 from .catalog import query
-from .decisions import training_run
+from .decisions import SCORE_CHECK, score_check, training_run
 from .fragments import CLEAN, CLEAN_COLUMNS, REQUEST_LOG
 from .telemetry import ALERT_SQL, READINGS, alert_rows, rounded
 
 
-@query(READINGS + """
+_AVERAGES = READINGS + """
 SELECT strftime(time_bucket(INTERVAL '5 minutes', event_ts), '%Y-%m-%d %H:%M:%S') AS window_start, vehicle_model,
  round(avg(engine_temp), 6) AS avg_engine_temp, count(*)::bigint AS n_records
-FROM readings
-WHERE time_bucket(INTERVAL '5 minutes', event_ts) + INTERVAL '5 minutes'
- <= (SELECT date_trunc('milliseconds', max(event_ts)) - INTERVAL '10 minutes' FROM readings)
-GROUP BY ALL""")
+FROM readings GROUP BY ALL"""
+
+
+def averaged(stream, latest, purpose):
+    """The windows of a reading stream, drained and then flushed."""
+    root = scratch_path(stream.sparkSession, purpose)
+    flush = jobs.Flush(stream)
+    for last in (False, True):
+        if last:
+            flush.push("event_ts", latest, engine_temp=0.0)
+        jobs.start_table(jobs.average_temperature(flush.stream), f"{root}/out", f"{root}/state").awaitTermination()
+    return stream.sparkSession.read.parquet(f"{root}/out")
+
+
+def window_rows(df):
+    return rounded(df, "avg_engine_temp").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+def newest(spark, sf_dir):
+    return views.read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+
+
+@query(_AVERAGES)
 def stream_avg_temp_5min(spark, sf_dir):
-    """Windows the watermark has closed."""
+    """Every window: the watermark closes most, a flush row the last ones."""
     stream = views.telemetry_from_events(views.stream_table(spark, sf_dir, "events"))
-    out = jobs.run_to_table(jobs.average_temperature(stream), "stream-avg")
-    return rounded(out, "avg_engine_temp").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return window_rows(averaged(stream, newest(spark, sf_dir), "stream-avg"))
+
+
+@query(_AVERAGES)
+def late_readings_corrected(spark, sf_dir):
+    """Every 50th reading misses the stream; its windows are aggregated again from the lake."""
+    late = F.col("event_id") % 50 == 0
+    stream = views.telemetry_from_events(views.stream_table(spark, sf_dir, "events")).filter(~late)
+    emitted = averaged(stream, newest(spark, sf_dir), "stream-late")
+    lake = views.telemetry(spark, sf_dir)
+    return window_rows(jobs.corrected_averages(emitted, lake, lake.filter(late)))
 
 
 @query("""
@@ -68,19 +96,23 @@ def stream_ingest(spark, sf_dir):
     return out.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
-@query()
+@query(SCORE_CHECK)
 def stream_score(spark, sf_dir):
     run = training_run(spark, sf_dir)
     raw = views.raw_customers_from_table(views.stream_table(spark, sf_dir, "customer"))
-    out = jobs.scored(clean_customers(raw), run.models[run.promoted], run.version, run.promoted, ["customer_id"])
-    return jobs.run_to_table(out, "stream-score")
+    root = scratch_path(spark, "stream-score")
+    paths = [f"{root}/{name}" for name in ("scores", "rejects", "state")]
+    jobs.start_scores(clean_customers(raw), *paths, run.models[run.promoted], run.version, run.promoted, ["customer_id"]).awaitTermination()
+    return score_check(*[spark.read.parquet(p) for p in paths[:2]])
 
 
-@query(f"WITH {REQUEST_LOG}" + ALERT_SQL.format(where="""
-WHERE time_bucket(INTERVAL '5 minutes', started_at) + INTERVAL '5 minutes'
- <= (SELECT date_trunc('milliseconds', max(started_at)) - INTERVAL '10 minutes' FROM request_log)"""))
+@query(f"WITH {REQUEST_LOG}" + ALERT_SQL.format(where=""))
 def stream_alerts(spark, sf_dir):
-    log = views.request_log_from_events(views.stream_table(spark, sf_dir, "events"))
+    """The same rows as the batch form, the windows still open at the end included."""
+    flush = jobs.Flush(views.request_log_from_events(views.stream_table(spark, sf_dir, "events")))
     root = scratch_path(spark, "stream-alerts")
-    jobs.start_alerts(log, f"{root}/table", f"{root}/state").awaitTermination()
+    for last in (False, True):
+        if last:
+            flush.push("started_at", newest(spark, sf_dir), latency_ms=0.0, is_error=False)
+        jobs.start_alerts(flush.stream, f"{root}/table", f"{root}/state").awaitTermination()
     return alert_rows(spark.read.parquet(f"{root}/table"))

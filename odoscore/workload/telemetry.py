@@ -114,7 +114,7 @@ def salted_join_totals(spark, sf_dir):
     df = readings(spark, sf_dir)
     means = df.groupBy("vehicle_model").agg(F.avg("engine_temp").alias("mean_temp"))
     joined = skew.salted_join(
-        df.select("event_id", "vehicle_model", "engine_temp", "miles"), means, ["vehicle_model"], SALT_ON
+        df.select("event_id", "vehicle_model", "engine_temp", "miles"), means, ["vehicle_model"], SALT_ON, min_rows=1
     )
     out = joined.groupBy("vehicle_model").agg(
         F.count("*").alias("n_records"),
@@ -148,19 +148,12 @@ def amplified_salted_avg(spark, sf_dir):
     )
 
 
-@query()
-def partition_report(spark, sf_dir):
-    return skew.partition_report(readings(spark, sf_dir), "vehicle_model", "event_ts", SALT_ON)
-
-
-@query(READINGS + """, parts AS (
- SELECT s.strategy, count(*)::bigint AS n_rows FROM readings,
-  (VALUES ('hash'), ('salted_hash'), ('range'), ('round_robin')) s(strategy) GROUP BY s.strategy)
-SELECT strategy, n_rows FROM parts""")
-def partition_report_totals(spark, sf_dir):
-    """Every placement holds all rows."""
-    report = partition_report(spark, sf_dir)
-    return report.groupBy("strategy").agg(F.sum("n_rows").alias("n_rows"))
+@query(READINGS + """,
+parts AS (SELECT vehicle_model, ('0x' || substr(md5(event_id::varchar), 1, 8))::bigint % 8 AS salt, count(*)::bigint AS n FROM readings GROUP BY ALL)
+SELECT vehicle_model, sum(n)::bigint AS n_rows, count(*)::bigint AS n_salts, max(n) AS largest_part, min(n) AS smallest_part
+FROM parts GROUP BY vehicle_model""")
+def salted_key_balance(spark, sf_dir):
+    return skew.key_balance(readings(spark, sf_dir), "vehicle_model", SALT_ON, 8)
 
 
 @query(f"WITH {TELEMETRY}" + """
@@ -206,18 +199,6 @@ def iterative_15_steps(spark, sf_dir):
     return rounded(lineage.iterate(start, cycle_step, 15, 5), "engine_temp", digits=9)
 
 
-@query("""
-SELECT range::int AS step, range > 0 AND range % 5 = 0 AS stored, (range % 5)::int AS depth_above_root FROM range(16)""")
-def lineage_depth_trace(spark, sf_dir):
-    """Plan depth over the iteration, counted from the start or from the last stored state."""
-    start = readings(spark, sf_dir).select("event_id", "vehicle_model", "engine_temp")
-    trace, root = [], None
-    for step, depth, stored in lineage.depth_trace(start, cycle_step, 15, 5):
-        root = depth if root is None or stored else root
-        trace.append((step, stored, depth - root))
-    return spark.createDataFrame(trace, "step int, stored boolean, depth_above_root int")
-
-
 @query(READINGS + """
 SELECT cast(cast(event_ts AS date) AS string) AS event_date, count(*)::bigint AS n_records, round(avg(engine_temp), 6) AS avg_engine_temp
 FROM readings WHERE cast(event_ts AS date) BETWEEN date '2024-01-08' AND date '2024-01-14' GROUP BY 1""")

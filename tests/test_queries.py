@@ -6,7 +6,6 @@ import __spark_entry__ as entry
 from tests.check_queries import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_eval_metrics", "batch_scores", "stream_score"}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +13,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
