@@ -18,15 +18,18 @@ def classification_counts(
     so each slice is an interval: pairs inside a slice come from a running sum,
     pairs across slices from the slice totals (one row per slice).  Ties count
     half.  All sums are integers: ``double_wins`` is twice the number of
-    (positive, negative) pairs ranked the right way round.
+    (positive, negative) pairs ranked the right way round.  Rows without a
+    label or a score take no part; ``n_unscored`` counts them.
     """
     by = by or []
     whole = "decimal(38,0)"
+    usable = F.col(label).isNotNull() & F.col(score).isNotNull()
     positive = F.col(label) == 1
     per_score = (
-        scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("_s"))
-        .agg(F.count_if(positive).alias("_p"), F.count_if(~positive).alias("_q"))
+        scored.groupBy(*by, F.when(usable, F.col(score).cast("double")).alias("_s"))
+        .agg(
+            F.count_if(usable & positive).alias("_p"), F.count_if(usable & ~positive).alias("_q"), F.count_if(~usable).alias("_u"),
+        )
     )
     ranged = per_score.repartitionByRange(*by, "_s").withColumn("_slice", F.spark_partition_id())
     inside = Window.partitionBy(*by, "_slice").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,6 +38,7 @@ def classification_counts(
         F.sum(F.col("_p").cast(whole) * (2 * F.col("_below") + F.col("_q"))).cast(whole).alias("_wins"),
         F.sum("_p").alias("_p"),
         F.sum("_q").alias("_q"),
+        F.sum("_u").alias("_u"),
         F.sum(F.when(F.col("_s") >= DECISION_THRESHOLD, F.col("_p")).otherwise(F.col("_q"))).alias("_hits"),
     )
     across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,6 +47,7 @@ def classification_counts(
         F.sum(F.col("_p") + F.col("_q")).alias("n_samples"),
         F.sum("_p").alias("n_positive"),
         F.sum("_hits").alias("n_correct"),
+        F.sum("_u").alias("n_unscored"),
         F.sum(F.col("_wins") + F.col("_p").cast(whole) * 2 * F.col("_lower")).cast(whole).alias("double_wins"),
     )
 
@@ -56,6 +61,8 @@ def classification_metrics(
     """
     by = by or []
     c = classification_counts(scored, label, score, by)
+    if by:
+        c = c.filter("n_samples > 0")
     n, p = F.col("n_samples"), F.col("n_positive")
     pairs = p.cast("double") * (n - p).cast("double")
     return c.select(

@@ -86,6 +86,7 @@ def _fixed(sql: str) -> str:
     return f"cast(try_cast(bround({sql}, 3) AS decimal(38,3)) AS string)"
 
 
+# The texts of the messages.
 QUALITY_MESSAGE = f"""CASE
  WHEN check = 'missing_column' AND n_rows > 0 THEN concat('MISSING COLUMN: ', name)
  WHEN check = 'null_rate' AND round(value, 10) > {DQ_MAX_NULL_RATE}D
@@ -112,6 +113,9 @@ def drift_issues(checks: DataFrame, stats: DataFrame) -> DataFrame:
     A feature without a reference, with reference mean 0, or without a recent
     mean has no shift and raises no warning.
     """
+    if "version" in stats.columns:
+        # A statistics table keeps all versions; the newest is the reference.
+        stats = stats.filter(F.col("version") == stats.agg(F.max("version")).scalar())
     ref = stats.select(F.col("feature").alias("_feature"), F.col("mean").alias("ref_mean"))
     # One row per feature.
     found = checks.join(F.broadcast(ref), (F.col("check") == "drift") & (F.col("name") == F.col("_feature")), "left")

@@ -11,6 +11,7 @@ RAW = f"""
 base AS (SELECT {', '.join(CUSTOMER_BASE_EXPRS)} FROM customer),
 raw_customer AS (SELECT {', '.join(RAW_CUSTOMER_EXPRS)}, k, nation FROM base)"""
 
+# Names of the raw columns and codes of the cleaned ones.
 _FLAGS = [
     ("OnlineSecurity", "online_security"), ("OnlineBackup", "online_backup"),
     ("DeviceProtection", "device_protection"), ("TechSupport", "tech_support"),

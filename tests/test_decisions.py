@@ -7,7 +7,7 @@ from odoscore.operators.stats import feature_stats
 from odoscore.plans.alerts import latency_alerts, positive_rate_alerts
 from odoscore.plans.monitor import dq_issues, drift_warnings, monitor_report, quarantine_split, run_monitor
 from odoscore.plans.promotion import promotion_decision
-from odoscore.plans.retrain import gather_signals, retrain_decisions
+from odoscore.plans.retrain import feedback_alerts, gather_signals, retrain_decisions
 
 STATS = "version string, feature string, mean double, std double, n_rows long"
 
@@ -38,7 +38,7 @@ def test_missing_column_is_reported_and_drift_skipped(customers, spark):
 
 
 # The batch mean is 95.5; 95.5 / 1.2 shifts by 20 % up to float noise.
-@pytest.mark.parametrize("mean,warns", [(100.0, False), (79.0, True), (95.5 / 1.2, False), (0.0, False)])
+@pytest.mark.parametrize("mean,warns", [(90.0, False), (67.0, True), (81.25 / 1.2, False), (0.0, False)])
 def test_drift_threshold_is_strict(customers, spark, mean, warns):
     stats = spark.createDataFrame([("v", "monthly_charges", mean, 1.0, 5)], STATS)
     assert bool(drift_warnings(customers(), stats).collect()) == warns
@@ -48,7 +48,7 @@ def test_drift_message_and_missing_reference(customers, spark):
     stats = spark.createDataFrame([("v", "monthly_charges", 50.0, 1.0, 5)], STATS)
     (row,) = drift_warnings(customers(), stats).collect()
     assert row["message"] == (
-        "DRIFT in 'monthly_charges': train_mean=50.000 recent_mean=95.500 (relative shift=91.0%, threshold=20%)")
+        "DRIFT in 'monthly_charges': train_mean=50.000 recent_mean=81.250 (relative shift=62.5%, threshold=20%)")
 
 
 def test_report_order_empty_batch_and_clean_batch(customers, spark):
@@ -136,3 +136,20 @@ def test_positive_rate_moves(spark):
     for ref, want in ((0.2, [True, False]), (0.25, [False, False]), (0.5, [False, True])):
         got = positive_rate_alerts(df, ref, "at").orderBy("window_start").collect()
         assert [r["rate_alert"] for r in got] == want
+
+
+def test_feedback_alerts_and_quarantined_feedback(spark):
+    signals = spark.createDataFrame([("a", 0.79), ("b", 0.80), ("c", None)], "g string, recent_labeled_auc double")
+    assert {r["g"]: r["auc_alert"] for r in feedback_alerts(signals).collect()} == {"a": True, "b": False, "c": False}
+    registry = spark.createDataFrame([("g", "2024-01-01", 0.9)], "g string, trained_at string, promoted_auc double")
+    rows = [("g", 1, 0.9, "ok"), ("g", 0, 0.1, "ok"), ("g", 1, 0.1, "bad"), ("g", 0, 0.9, "bad")]
+    feedback = spark.createDataFrame(rows, "g string, label int, score double, batch string")
+    reports = spark.createDataFrame([("g", "2024-01-02", [])], "g string, checked_at string, drift_warnings array<string>")
+    held = spark.createDataFrame([("bad",)], "batch string")
+    row = gather_signals(registry, feedback, reports, "2024-01-25", ["g"], quarantined=held).first()
+    assert row["recent_labeled_auc"] == 1.0
+
+
+def test_drift_uses_the_newest_statistics(customers, spark):
+    stats = spark.createDataFrame([("v1", "monthly_charges", 10.0, 1.0, 5), ("v2", "monthly_charges", 81.0, 1.0, 5)], STATS)
+    assert drift_warnings(customers(), stats).count() == 0

@@ -28,16 +28,16 @@ def test_new_customer_has_no_division_by_zero(customers):
 
 
 def test_high_value_threshold_is_strict_and_nan_safe(customers):
-    values = [30.0, 150.0, 70.0, 70.01, float("nan"), None]
+    values = [22.5, 133.0, 70.0, 70.01, float("nan"), None]
     rows = features(customers(*[{"customer_id": str(i), "monthly_charges": v} for i, v in enumerate(values)]), ["customer_id"])
     got = {r["customer_id"]: r["is_high_value"] for r in rows.collect()}
     assert [got[str(i)] for i in range(6)] == [0, 1, 0, 1, 0, 0]
 
 
 def test_addons_and_interaction(customers):
-    assert one(features(customers({"online_security": 1, "online_backup": 1, "streaming_movies": 0})))["num_addon_services"] == 3
+    assert one(features(customers({"online_security": 1, "tech_support": 1})))["num_addon_services"] == 4
     assert one(features(customers({"online_security": None})))["num_addon_services"] == 2
-    cases = [("month_to_month", 3, 1), ("two_year", 3, 0), ("month_to_month", 40, 0), ("month_to_month", 12, 1), (None, 3, 0)]
+    cases = [("month_to_month", 5, 1), ("one_year", 5, 0), ("month_to_month", 13, 0), ("month_to_month", 12, 1), (None, 1, 0)]
     for contract, tenure, want in cases:
         assert one(features(customers({"contract_type": contract, "tenure_months": tenure})))["is_new_high_risk"] == want
 

@@ -91,3 +91,10 @@ def test_latency_summary(spark):
     assert r["p50_latency_ms"] == 30.0 and r["p95_latency_ms"] == 48.5
     none = m.request_latency_summary(log.filter("is_error")).first()
     assert none["avg_latency_ms"] is None and none["p99_latency_ms"] is None and none["errors"] == 1
+
+
+def test_rows_without_score_or_label_are_counted(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.2), ("a", None, 0.3), ("a", 1, None), ("b", None, None)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    got = {r["g"]: (r["n_samples"], r["n_unscored"]) for r in m.classification_counts(df, by=["g"]).collect()}
+    assert got == {"a": (2, 2), "b": (0, 1)}

@@ -12,6 +12,7 @@ AGGS = {
     "min_v": ("min", "v"), "max_v": ("max", "v"),
 }
 # Fixed trace: vehicle, model, odometer miles.
+# A published trace and its totals.
 TRACE = [
     ("EV-072", "Kona Electric", 2537.2), ("EV-078", "Nexon EV", 11186.0), ("EV-087", "Model Y", 12351.1),
     ("EV-062", "Model 3", 12838.9), ("EV-053", "Kona Electric", 1497.3), ("EV-024", "Model Y", 12255.0),

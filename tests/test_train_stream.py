@@ -6,8 +6,8 @@ from odoscore.config import JobConfig, ModelConfig
 from odoscore.functions.features import features
 from odoscore.operators.aggregate import average_by_key
 from odoscore.plans import train as t
-from odoscore.plans.ingest import STORED
-from odoscore.plans.score import score
+from odoscore.plans.ingest import STORED, IngestPaths
+from odoscore.plans.score import score, score_or_reject
 from odoscore.schemas import FEATURES, SNAPSHOT, SNAPSHOT_COLUMNS, TELEMETRY
 from odoscore.sources.customers import generate_customers
 from odoscore.sources.tables import read_or_none
@@ -67,24 +67,57 @@ def test_artifacts_and_reload(run, spark):
 
 
 def test_scores_have_the_right_direction_and_shape(run, customers):
+    """Over a sweep of tenures, a longer contract lowers the probability."""
     _, _, result = run
-    rows = customers(
-        {"customer_id": "high", "tenure_months": 2, "total_charges": 191.0},
-        {"customer_id": "low", "contract_type": "two_year", "tenure_months": 60, "total_charges": 5730.0, "online_security": 1, "online_backup": 1,
-         "device_protection": 1, "tech_support": 1, "has_partner": 1, "has_dependents": 1},
-    )
+    contracts, tenures = ["month_to_month", "one_year", "two_year"], [1, 7, 18, 33, 66]
+    rows = customers(*[
+        {"customer_id": f"{c}/{t}", "contract_type": c, "tenure_months": t, "total_charges": 81.25 * t} for c in contracts for t in tenures
+    ])
     got = {r["customer_id"]: r for r in score(rows, result.models["baseline"], "v", "baseline", ["customer_id"]).collect()}
-    assert got["high"]["churn_probability"] > got["low"]["churn_probability"]
+    for t_ in tenures:
+        chances = [got[f"{c}/{t_}"]["churn_probability"] for c in contracts]
+        assert chances == sorted(chances, reverse=True) and chances[0] > chances[2]
     for r in got.values():
         assert r["churn_prediction"] == int(r["churn_probability"] >= 0.5) and r["model_version"] == "v"
         assert r["churn_probability"] == round(r["churn_probability"], 4)
 
 
+def test_every_payload_is_scored_or_kept_with_its_violations(run, spark, customers, tmp_path):
+    _, _, result = run
+    rows = customers({}, {"customer_id": "b", "tenure_months": -1}, {"customer_id": "c", "contract_type": None, "total_charges": None})
+    model = result.models["baseline"]
+    good, bad = score_or_reject(rows, model, "v", "baseline", ["customer_id"])
+    assert [r["customer_id"] for r in good.collect()] == ["C1"]
+    assert {r["customer_id"]: r["violations"] for r in bad.collect()} == {"b": ["tenure_months"], "c": ["contract_type", "total_charges"]}
+    paths = [str(tmp_path / n) for n in ("in", "scores", "rejects")]
+    rows.write.parquet(paths[0])
+    for attempt in ("a", "b"):      # a replay replaces its rows
+        stream = spark.readStream.schema(rows.schema).parquet(paths[0])
+        jobs.start_scores(stream, *paths[1:], str(tmp_path / attempt), model, "v", "baseline", ["customer_id"]).awaitTermination()
+        assert (spark.read.parquet(paths[1]).count(), spark.read.parquet(paths[2]).count()) == (1, 2)
+
+
+def test_a_repeated_training_run_replaces_its_outputs(spark, tmp_path):
+    config = JobConfig(candidate=ModelConfig("gradient_boosting", {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1}),
+                       artifact_root=str(tmp_path / "art"))
+    rows = generate_customers(spark, 300, seed=4).withColumn("batch", F.when(F.col("tenure_months") < 5, "early").otherwise("late"))
+    odd = rows.limit(3).withColumns({"churn": F.lit(None).cast("int"), "customer_id": F.concat(F.lit("x"), "customer_id"), "batch": F.lit("late")})
+    held = spark.createDataFrame([("early",)], "batch string")
+    n = rows.filter("batch = 'late'").count()
+    for _ in range(2):
+        result = t.train_and_evaluate(spark, rows.unionByName(odd), "v1", "2024-01-01 00:00:00", config, held)
+    tables = {name: spark.read.parquet(config.table(name)).count() for name in ("model_eval", "feature_stats", "train_rejects", "model_registry")}
+    assert tables == {"model_eval": 16, "feature_stats": 16, "train_rejects": 3, "model_registry": 1}
+    assert {r["reason"] for r in spark.read.parquet(config.table("train_rejects")).collect()} == {"no usable label"}
+    held_out = result.metrics.filter("model = 'baseline' AND metric = 'n_samples'").agg(F.sum("value")).first()[0]
+    assert abs(held_out - 0.3 * n) <= 3
+
+
 def test_standardised_forms_agree_and_constant_feature_is_safe(spark, customers):
     frame = features(customers({}, {"customer_id": "b", "tenure_months": 20}, {"customer_id": "c", "monthly_charges": 10.0}),
                      ["customer_id"]).withColumn("split", F.when(F.col("customer_id") == "c", "test").otherwise("train"))
     scaler = t.fit_scaler(frame.filter("split = 'train'"))
-    assert scaler["senior_citizen"] == (0.0, 1.0) and scaler["tenure_months"] == (14.0, 6.0)
+    assert scaler["senior_citizen"] == (0.0, 1.0) and scaler["tenure_months"] == (14.5, 5.5)
     a = t.standardize(frame, scaler, ["customer_id"]).orderBy("customer_id").collect()
     b = t.standardized_features(frame, ["customer_id"]).orderBy("customer_id").collect()
     assert a == b
@@ -169,6 +202,34 @@ def test_stream_features_and_scores_equal_batch(run, spark, tmp_path):
     assert scores.exceptAll(score(rows, model, "v", "candidate", ["customer_id"])).isEmpty() and scores.count() == 800
 
 
+def test_customer_files_are_ingested_as_they_land(spark, tmp_path):
+    paths = IngestPaths(*[str(tmp_path / n) for n in ("in", "processed", "log", "quarantine")])
+    (tmp_path / "in").mkdir()
+
+    def land(name, columns, n):
+        rows = generate_customers(spark, n, seed=n).toPandas()
+        rows[columns].to_csv(tmp_path / "in" / name, index=False)
+        jobs.start_landing(spark, paths, "2024-01-05", str(tmp_path / "state")).awaitTermination()
+
+    land("a b.csv", SNAPSHOT_COLUMNS, 20)
+    land("short.csv", [c for c in SNAPSHOT_COLUMNS if c != "contract_type"], 5)
+    log = {r["file_name"]: (r["status"], r["n_rows"], r["batch_seq"]) for r in spark.read.parquet(paths.log).collect()}
+    assert log == {"a b.csv": ("accepted", 20, 1), "short.csv": ("rejected", 5, 2)}
+    assert spark.read.parquet(paths.processed).count() == 20 and spark.read.parquet(paths.quarantine).count() == 5
+
+
+def test_late_readings_are_corrected_from_the_lake(spark):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "event_ts string, vehicle_model string, engine_temp double").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+
+    lake = frame(("2024-01-01 00:01:00", "a", 10.0), ("2024-01-01 00:02:00", "a", 30.0), ("2024-01-01 00:07:00", "a", 5.0))
+    emitted = spark.createDataFrame([("2024-01-01 00:00:00", "a", 10.0, 1), ("2024-01-01 00:05:00", "a", 5.0, 1)],
+                                    "w string, vehicle_model string, avg_engine_temp double, n_records long")
+    emitted = emitted.select(F.col("w").cast("timestamp").alias("window_start"), "vehicle_model", "avg_engine_temp", "n_records")
+    fixed = jobs.corrected_averages(emitted, lake, lake.filter("engine_temp = 30"))
+    assert {str(r["window_start"])[14:16]: (r["avg_engine_temp"], r["n_records"]) for r in fixed.collect()} == {"00": (20.0, 2), "05": (5.0, 1)}
+
+
 def test_stream_ingest_replay_changes_nothing(spark, tmp_path):
     rows = generate_customers(spark, 40).withColumns({
         "batch_seq": F.lit(1).cast("long"), "file_name": F.lit("f.csv"), "split_start": F.lit(0).cast("long"),
