@@ -54,7 +54,7 @@ def mix_sources(
     weights: tuple[int, ...] = (1, 2, 3),
     most: int = 3,
     seed: int = 0,
-    rows_per_cell: int = 100_000,
+    rows_per_cell: int = 4_000,
 ) -> DataFrame:
     """``docs`` (with ``source``) plus ``source_size``, ``target`` and ``taken`` (of the row, repeats counted).
 
