@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SAMPLE, PIVOTS = 4096, 32
-BLOCK_ROWS, QUERY_ROWS, CHUNK = 4096, 2048, 64
+BLOCK_ROWS, QUERY_ROWS, CHUNK, PIVOT_STEP = 4096, 2048, 64, 8
 #: Distances are rounded to double; bounds are loosened by this share so that rounding cannot cut a candidate.
 _SLACK = 1e-9
 
@@ -116,25 +116,39 @@ class Block:
     def __init__(self, dim: int, ids: bytes, uids: bytes, vectors: bytes, distances: bytes):
         self.ids, self.uids = np.frombuffer(ids, np.int64), np.frombuffer(uids, np.int64)
         self.vectors = np.frombuffer(vectors, np.int64).reshape(len(self.ids), dim)
-        self.distances = np.frombuffer(distances, np.float64).reshape(len(self.ids), -1)
+        self.distances = np.frombuffer(distances, np.float64).reshape(len(self.ids), -1).T.copy()
         self.norms = (self.vectors.astype(np.float64) ** 2).sum(axis=1)
 
 
 def best_of(queries: Block, at: int, rows: Block, k: int, floor: float) -> list[tuple[int, int]]:
     """The (score, vec_id) of a query that may be among its k best: those in this block not below ``floor``."""
-    gap = np.abs(rows.distances - queries.distances[at]).max(axis=1) * (1 - _SLACK)
-    bound = (queries.norms[at] + rows.norms - gap * gap) / 2
-    bound += np.abs(bound) * _SLACK + 1e-6
-    open_rows = np.nonzero((bound >= floor) & (rows.uids != queries.uids[at]))[0]
-    open_rows = open_rows[np.argsort(-bound[open_rows], kind="stable")]
+    open_rows = np.nonzero(rows.uids != queries.uids[at])[0]
+    gap, bound = np.zeros(len(open_rows)), np.empty(0)
+    # A few pivots at a time: rows that these rule out need no others.
+    for first in range(0, len(rows.distances), PIVOT_STEP):
+        for own, others in zip(queries.distances[first: first + PIVOT_STEP, at], rows.distances[first: first + PIVOT_STEP]):
+            np.maximum(gap, np.abs(others[open_rows] - own), out=gap)
+        bound = (queries.norms[at] + rows.norms[open_rows] - (gap * (1 - _SLACK)) ** 2) / 2
+        bound += np.abs(bound) * _SLACK + 1e-6
+        kept = bound >= floor
+        if not kept.all():
+            open_rows, gap, bound = open_rows[kept], gap[kept], bound[kept]
+    order = np.argsort(-bound, kind="stable")
+    open_rows, bound = open_rows[order], bound[order]
     found: list[tuple[int, int]] = []
-    for start in range(0, len(open_rows), CHUNK):
-        if len(found) >= k and bound[open_rows[start]] < found[k - 1][0]:
+    start, size = 0, CHUNK
+    while start < len(open_rows):
+        if len(found) >= k and bound[start] < found[k - 1][0]:
             break
-        part = open_rows[start: start + CHUNK]
+        part = open_rows[start: start + size]
+        start, size = start + size, 2 * size
         scores = rows.vectors[part] @ queries.vectors[at]
-        found = sorted([*found, *zip(scores.tolist(), rows.ids[part].tolist())], key=lambda f: (-f[0], f[1]))[:k]
-    return [f for f in found if f[0] >= floor]
+        good = scores >= (max(floor, found[k - 1][0]) if len(found) >= k else floor)
+        if len(scores) > 4 * k and good.sum() > 4 * k:
+            # Ties with the k-th score of this part stay.
+            good &= scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        found = sorted([*found, *zip(scores[good].tolist(), rows.ids[part[good]].tolist())], key=lambda f: (-f[0], f[1]))[:k]
+    return found
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vector_col: str = "embedding") -> DataFrame:
@@ -195,9 +209,9 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     asked_ranges = asked_ranges.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), spread.cast("long") - 1)))
     pairs = ranges.join(asked_ranges, ["dim", "part"])
     pairs = pairs.where(bound + F.abs(bound) * _SLACK + 1e-6 >= F.col("q_needed")).select("dim", "cell", "block", "q_block")
-    met = pairs.join(data.select("dim", "cell", "block", *arrays), ["dim", "cell", "block"]).join(
-        queries.select("dim", "q_block", "q_floors", *[f"q_{c}" for c in arrays]), ["dim", "q_block"]
-    )
+    # Blocks of rows come last: there are many of them, while all queries may be in one block.
+    asked_pairs = pairs.join(queries.select("dim", "q_block", "q_floors", *[f"q_{c}" for c in arrays]), ["dim", "q_block"])
+    met = asked_pairs.join(data.select("dim", "cell", "block", *arrays), ["dim", "cell", "block"])
 
     def search(batches):
         for batch in batches:
