@@ -33,8 +33,11 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their texts, each in its bin."""
-    return pack_documents(docs, with_text=True)
+    """Pieces of documents with their texts, each in its bin.
+
+    Texts go through the tasks here, so the shards are smaller.
+    """
+    return pack_documents(docs, with_text=True, shard_rows=2048)
 
 
 STAGES = [
