@@ -120,6 +120,9 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the big side on the left: {how!r} is not supported")
     if hot is None:
+        # With fewer rows than a hot key must have, none can be hot.
+        if big.count() <= min_rows:
+            return big.join(small, keys, how)
         hot = cut_lineage(heavy_keys(big, keys, n_partitions, min_rows), "table")
     # A NULL key matches nothing, so its rows may be spread as widely as the widest key.
     widest = hot.agg(F.max("n_salts")).first()[0]
