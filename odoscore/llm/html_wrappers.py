@@ -19,6 +19,7 @@ import re
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +50,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 #: Longest pattern of labels that is folded, longest text that is kept as a constant, most items of one list before
 #: their labels are reduced to tags, and deepest nesting (what lies deeper counts as part of its ancestor).
 _PERIOD, _CONSTANT, _WIDEST, _DEEPEST = 4, 200, 200, 100
+#: A constant is furniture if at least _NEARLY_ALL of the host's distinct pages show it; they are counted on the _SAMPLE
+#: pages with the smallest content hashes, which are all pages of a host that has no more.
+_SAMPLE, _NEARLY_ALL, _FEWEST = 32, 0.9, 3
+#: Texts longer than this tell pages apart; counters, dates and bylines are shorter.
+_TELLING = 40
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 # --- pages ----------------------------------------------------------------------------------------------
@@ -148,10 +155,11 @@ def _squeezed(text: str) -> str:
 
 
 # --- wrappers -------------------------------------------------------------------------------------------
-# An item is [label, optional, repeated, text, mass, furniture, items]; a text has the label '#text' and its
-# constant (None for a slot), a repeated pattern the label '#group'.  Mass counts characters of text.
+# An item is [label, optional, repeated, text, mass, furniture, items, shown]; a text has the label '#text' and its
+# constant (None for a slot), a repeated pattern the label '#group'.  Mass counts characters of text.  Shown has the
+# smallest content hashes of the pages that show a constant, and at the root those of all pages; copies have one hash.
 
-LABEL, OPTIONAL, REPEATED, TEXT, MASS, FURNITURE, ITEMS = range(7)
+LABEL, OPTIONAL, REPEATED, TEXT, MASS, FURNITURE, ITEMS, SHOWN = range(8)
 
 
 def _folded(items: list[list]) -> list[list]:
@@ -175,16 +183,23 @@ def _folded(items: list[list]) -> list[list]:
                     group = [merge_items(a, b) for a, b in zip(group, out[end: end + period])]
                     end += period
                 label = "#group:" + "|".join(names)
-                out[i:end] = [[label, False, True, None, sum(x[MASS] for x in group), False, group]]
+                out[i:end] = [[label, False, True, None, sum(x[MASS] for x in group), False, group, []]]
             i += 1
     return out
 
 
+def _smallest(a: list[int], b: list[int]) -> list[int]:
+    if not b or a == b or (len(a) == _SAMPLE and b[0] > a[-1]):
+        return a
+    return sorted({*a, *b})[:_SAMPLE]
+
+
 def merge_items(a: list, b: list) -> list:
     """One item that matches what either of two items with the same label matches."""
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
     items = a[ITEMS] if not b[ITEMS] else b[ITEMS] if not a[ITEMS] and a[LABEL] == "#text" else align(a[ITEMS], b[ITEMS])
-    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[MASS] + b[MASS], a[FURNITURE] and b[FURNITURE], items]
+    shown = _smallest(a[SHOWN], b[SHOWN]) if text is not None or a[LABEL] == "#root" else []
+    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[MASS] + b[MASS], a[FURNITURE] and b[FURNITURE], items, shown]
 
 
 def _optional(item: list) -> list:
@@ -222,9 +237,28 @@ def _general(items: list[list]) -> list[list]:
     ]
 
 
-def wrapper_of(node: Node, inside: bool = False) -> list:
+def _shown(page: Node) -> list[int]:
+    """The content hash of a page by its telling texts outside furniture, all of them if none is long; none without text."""
+    texts: list[str] = []
+
+    def visit(node: Node) -> None:
+        for item in node.items:
+            if isinstance(item, str):
+                if not item.isspace():
+                    texts.append(_squeezed(item))
+            elif not item.furniture:
+                visit(item)
+
+    visit(page)
+    telling = [t for t in texts if len(t) > _TELLING] or texts
+    return [xxhash.xxh64_intdigest("\n".join(telling).encode("utf-8", "surrogatepass"))] if telling else []
+
+
+def wrapper_of(node: Node, inside: bool = False, shown: list[int] | None = None) -> list:
     """The wrapper of a single page: its own token stream, folded."""
     furniture = inside or node.furniture
+    if shown is None:
+        shown = _shown(node)
     items: list[list] = []
     for item in node.items:
         if isinstance(item, str):
@@ -232,15 +266,16 @@ def wrapper_of(node: Node, inside: bool = False) -> list:
                 continue
             if items and items[-1][LABEL] == "#text":
                 last = items[-1]
-                last[TEXT], last[MASS] = None, last[MASS] + len(item)
+                last[TEXT], last[MASS], last[SHOWN] = None, last[MASS] + len(item), []
             else:
-                items.append(["#text", False, False, item if len(item) <= _CONSTANT else None, len(item), furniture, []])
+                constant = item if len(item) <= _CONSTANT else None
+                items.append(["#text", False, False, constant, len(item), furniture, [], shown if constant is not None else []])
         elif item.tag not in ("br", "hr"):
-            items.append(wrapper_of(item, furniture))
+            items.append(wrapper_of(item, furniture, shown))
     items = _folded(items)
     if len(items) > _WIDEST:
         items = _folded(_general(items))
-    return [node.label, False, False, None, sum(x[MASS] for x in items), furniture, items]
+    return [node.label, False, False, None, sum(x[MASS] for x in items), furniture, items, shown if node.tag == "#root" else []]
 
 
 def _variable(item: list) -> int:
@@ -252,6 +287,11 @@ def _variable(item: list) -> int:
     return sum(_variable(x) for x in item[ITEMS])
 
 
+def _is_constant(item: list, pages: list[int]) -> bool:
+    """Whether a text is the same on nearly all of the distinct pages, given the host's sample of them."""
+    return item[TEXT] is not None and len(pages) >= _FEWEST and len({*item[SHOWN]} & {*pages}) >= _NEARLY_ALL * len(pages)
+
+
 def _article_like(label: str) -> bool:
     tag, *words = label.partition("@")[0].split(".")
     return tag in ("article", "main") or label.endswith("@main") or (tag in ("div", "section", "td") and bool(ARTICLE_WORDS & set(words)))
@@ -277,21 +317,36 @@ def plan_of(wrapper: list, pages: int) -> dict:
 
     if total:
         visit(wrapper, [])
+    root = best[2] if best else None
     constants: set[tuple[str, str]] = set()
+    mass = {True: 0, False: 0}
 
     def gather(item: list, parent: str) -> None:
-        if item[FURNITURE]:
+        if item[FURNITURE] or re.split(r"[.@]", item[LABEL])[0] in _HEADINGS:
             return
         if item[LABEL] == "#text":
-            if item[TEXT] is not None:
+            constant = _is_constant(item, wrapper[SHOWN])
+            mass[constant] += item[MASS]
+            if constant:
                 constants.add((parent, _squeezed(item[TEXT])))
             return
         for child in item[ITEMS]:
             gather(child, parent if item[LABEL].startswith("#group") else item[LABEL])
 
-    if total and pages >= 3:
-        gather(wrapper, "")
-    return {"root": best[2] if best else None, "drop": sorted(constants)}
+    def enter(item: list, depth: int) -> None:
+        if item[LABEL].startswith("#group"):
+            for child in item[ITEMS]:
+                enter(child, depth)
+        elif root is None or (item[LABEL] == root[depth] and depth + 1 == len(root)):
+            gather(item, "")
+        elif item[LABEL] == root[depth]:
+            for child in item[ITEMS]:
+                enter(child, depth + 1)
+
+    if total:
+        enter(wrapper, 0)
+    # Where the constants are most of the text, the pages are copies that differ in trifles.
+    return {"root": root, "drop": sorted(constants) if mass[True] < mass[False] else []}
 
 
 # --- extraction -----------------------------------------------------------------------------------------

@@ -100,3 +100,31 @@ def test_merging_in_parts_gives_one_plan_per_host(spark):
     frame = spark.createDataFrame(rows, "html string, host string").repartition(8)
     (plan,) = H.infer_wrappers(frame, fan=3).collect()
     assert json.loads(plan["plan"])["root"][-1] == "div.body.post"
+
+
+def texts(pages):
+    plan = H.plan_of(infer(pages), len(pages))
+    return [H.extract(p, plan) for p in pages]
+
+
+LONG = "A paragraph that is long enough to tell one page from another, number "
+
+
+def test_a_block_of_one_page_is_no_furniture():
+    body = lambda i: f"<h1>T{i}</h1><p>{LONG}{i}</p>"
+    extras = ["<blockquote>Q</blockquote>", "<h3>Q</h3>", "<pre>Q</pre>", "<ul><li>Q</li></ul>"]
+    for extra in extras:
+        got = texts([page(i, body(i) + (extra if i == 0 else "")) for i in range(5)])
+        assert got == [f"T{i}\n{LONG}{i}" + ("\nQ" if i == 0 else "") for i in range(5)]
+        # Copies of the page with the block do not make it furniture.
+        copies = [page(0, body(0) + extra)] * 30 + [page(i, body(i)) for i in range(1, 5)]
+        assert texts(copies)[0] == f"T0\n{LONG}0\nQ"
+
+
+def test_copies_and_shared_headings_keep_their_text():
+    one = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{'word ' * 60}</p>"
+    for copies in ([page(1, one)] * 4, [page(1, one + f"<p>{i} views</p>") for i in range(4)]):
+        for text in texts(copies):
+            assert "Title" in text and "Short." in text and LONG.strip() in text
+    got = texts([page(i, f"<h1>One for all</h1><p>{LONG}{i}</p><div>Same line</div>") for i in range(12)])
+    assert got == [f"One for all\n{LONG}{i}" for i in range(12)]
