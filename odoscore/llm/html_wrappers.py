@@ -292,6 +292,21 @@ def _is_constant(item: list, pages: list[int]) -> bool:
     return item[TEXT] is not None and len(pages) >= _FEWEST and len({*item[SHOWN]} & {*pages}) >= _NEARLY_ALL * len(pages)
 
 
+def _kept(item: list, pages: list[int], article: bool = False) -> int:
+    """Characters of text outside furniture that is no constant of the host; a heading counts unless ``article``."""
+    if item[FURNITURE]:
+        return 0
+    if item[LABEL] == "#text":
+        return 0 if _is_constant(item, pages) else item[MASS]
+    if not article and _tag(item) in _HEADINGS:
+        return item[MASS]
+    return sum(_kept(x, pages, article) for x in item[ITEMS])
+
+
+def _tag(item: list) -> str:
+    return re.split(r"[.@!]", item[LABEL])[0]
+
+
 def _article_like(label: str) -> bool:
     tag, *words = label.partition("@")[0].split(".")
     return tag in ("article", "main") or label.endswith("@main") or (tag in ("div", "section", "td") and bool(ARTICLE_WORDS & set(words)))
@@ -299,7 +314,7 @@ def _article_like(label: str) -> bool:
 
 def plan_of(wrapper: list, pages: int) -> dict:
     """Where the host keeps its article (a path of labels, or none) and the constants in there that are furniture."""
-    best: tuple[int, int, list[str]] | None = None
+    best: tuple[list, list[str]] | None = None
     total = _variable(wrapper)
 
     def visit(item: list, path: list[str]) -> None:
@@ -308,21 +323,23 @@ def plan_of(wrapper: list, pages: int) -> dict:
             return
         if not item[LABEL].startswith("#group"):
             path = [*path, item[LABEL]]
-        mass = _variable(item)
-        # The innermost of the article-like containers that hold nearly all of the best one's text.
-        if _article_like(item[LABEL]) and 2 * mass > total and (best is None or 10 * mass >= 9 * best[0]):
-            best = (mass, len(path), path)
+        if _article_like(item[LABEL]) and 2 * _variable(item) > total:
+            # The outermost article-like container, or one inside it if only furniture and constants are around that;
+            # a heading around it counts as text unless the inner one is declared to be the article.
+            declared = _tag(item) == "article"
+            if best is None or _kept(item, wrapper[SHOWN], declared) == _kept(best[0], wrapper[SHOWN], declared):
+                best = (item, path)
         for child in item[ITEMS]:
             visit(child, path)
 
     if total:
         visit(wrapper, [])
-    root = best[2] if best else None
+    root = best[1] if best else None
     constants: set[tuple[str, str]] = set()
     mass = {True: 0, False: 0}
 
     def gather(item: list, parent: str) -> None:
-        if item[FURNITURE] or re.split(r"[.@]", item[LABEL])[0] in _HEADINGS:
+        if item[FURNITURE] or _tag(item) in _HEADINGS:
             return
         if item[LABEL] == "#text":
             constant = _is_constant(item, wrapper[SHOWN])

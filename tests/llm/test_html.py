@@ -128,3 +128,18 @@ def test_copies_and_shared_headings_keep_their_text():
             assert "Title" in text and "Short." in text and LONG.strip() in text
     got = texts([page(i, f"<h1>One for all</h1><p>{LONG}{i}</p><div>Same line</div>") for i in range(12)])
     assert got == [f"One for all\n{LONG}{i}" for i in range(12)]
+
+
+def test_text_beside_an_inner_container_stays():
+    def nested(i):
+        return f'<article><h1>T{i}</h1><p class="lead">Lead {i}</p><div class="article-body"><div class="text">{f"<p>{LONG}{i}</p>" * (30 if i else 1)}</div><p>b{i}</p></div><p>End {i}</p></article>'
+
+    got = texts([page(i, nested(i)).replace("post-body", "outer") for i in range(6)])
+    for i, text in enumerate(got):
+        lines = text.split("\n")
+        assert lines[:3] == [f"T{i}", f"Lead {i}", f"{LONG}{i}"] and lines[-2:] == [f"b{i}", f"End {i}"]
+
+
+def test_inner_container_is_taken_if_only_constants_are_around():
+    inner = lambda i: f'<div class="content"><h2>Our magazine</h2><p>Read us daily</p><article><h1>T{i}</h1><p>{LONG}{i}</p></article></div>'
+    assert texts([page(i, inner(i)).replace("post-body", "outer") for i in range(6)]) == [f"T{i}\n{LONG}{i}" for i in range(6)]
