@@ -40,6 +40,8 @@ FURNITURE_WORDS = frozenset(
     "comment comments reply replies respond discussion disqus cookie cookies consent gdpr notice alert popup modal overlay "
     "newsletter subscribe subscription signup signin login search pagination pager toolbar copyright skip".split()
 )
+#: Words of FURNITURE_WORDS for texts of other people or other pages, which may well be longer than the article.
+APART_WORDS = frozenset("related recommended recommendations comment comments reply replies respond discussion disqus".split())
 ARTICLE_WORDS = frozenset("article content main post entry story body text".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -55,6 +57,10 @@ _PERIOD, _CONSTANT, _WIDEST, _DEEPEST = 4, 200, 200, 100
 _SAMPLE, _NEARLY_ALL, _FEWEST = 32, 0.9, 3
 #: Texts longer than this tell pages apart; counters, dates and bylines are shorter.
 _TELLING = 40
+#: What makes a part furniture: a name, a name in APART_WORDS, or a tag, role or style, which no wrapper overrules.
+NAMED, APART, HARD = 1, 2, 3
+#: A part with this share of the host's text and an article's tag, name or heading is an article.
+_ENOUGH = 0.1
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -65,15 +71,15 @@ class Node:
 
     __slots__ = ("tag", "label", "furniture", "items")
 
-    def __init__(self, tag: str, label: str, furniture: bool):
+    def __init__(self, tag: str, label: str, furniture: int):
         self.tag, self.label, self.furniture, self.items = tag, label, furniture, []
 
 
-_labels: dict[tuple[str, str], tuple[str, bool]] = {}
+_labels: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def _declared(tag: str, attributes: str) -> tuple[str, bool]:
-    """Label (tag with its class and role, digits aside) and whether it is declared furniture."""
+def _declared(tag: str, attributes: str) -> tuple[str, int]:
+    """Label (tag with its class and role, digits aside) and how it is declared furniture, 0 if it is not."""
     known = _labels.get((tag, attributes))
     if known:
         return known
@@ -82,9 +88,13 @@ def _declared(tag: str, attributes: str) -> tuple[str, bool]:
     words = kinds | names
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", "")))
-    furniture = tag in FURNITURE_TAGS or role in FURNITURE_ROLES or hidden or (bool(words & FURNITURE_WORDS) and tag not in ("html", "body", "article", "main"))
-    # An id often belongs to one page; only its article words make a label.
-    label = ".".join([tag, *sorted(kinds | names & ARTICLE_WORDS)]) + (f"@{role}" if role else "")
+    furniture = 0
+    if tag in FURNITURE_TAGS or role in FURNITURE_ROLES or hidden:
+        furniture = HARD
+    elif words & FURNITURE_WORDS and tag not in ("html", "body", "article", "main"):
+        furniture = APART if words & APART_WORDS else NAMED
+    # An id often belongs to one page; only its words for articles and furniture make a label.
+    label = ".".join([tag, *sorted(kinds | names & (ARTICLE_WORDS | FURNITURE_WORDS))]) + (f"@{role}" if role else "")
     if len(_labels) > 50_000:
         _labels.clear()
     _labels[tag, attributes] = label, furniture
@@ -93,7 +103,7 @@ def _declared(tag: str, attributes: str) -> tuple[str, bool]:
 
 def parse(html: str) -> Node:
     """The nested token stream of a page; tags left open are closed where their parent ends."""
-    root = Node("#root", "#root", False)
+    root = Node("#root", "#root", 0)
     stack, at, deeper = [root], 0, 0
     for m in _TOKEN.finditer(html):
         if m.start() < at:
@@ -121,7 +131,7 @@ def parse(html: str) -> Node:
                 at = end.end() if end else len(html)
             continue
         if tag == "br" or tag == "hr":
-            stack[-1].items.append(Node(tag, tag, False))
+            stack[-1].items.append(Node(tag, tag, 0))
         if tag in VOID or tag in FORMAT:
             continue
         if len(stack) > _DEEPEST:
@@ -139,8 +149,8 @@ def parse(html: str) -> Node:
                 if stack[i].tag in ("ul", "ol", "dl", "table", "div", "article", "section"):
                     break
         label, furniture = _declared(tag, m[3])
-        if tag == "header":
-            furniture |= not any(n.tag in ("article", "main") for n in stack)
+        if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+            furniture = HARD
         node = Node(tag, label, furniture)
         stack[-1].items.append(node)
         if not m[3].endswith("/"):
@@ -183,7 +193,7 @@ def _folded(items: list[list]) -> list[list]:
                     group = [merge_items(a, b) for a, b in zip(group, out[end: end + period])]
                     end += period
                 label = "#group:" + "|".join(names)
-                out[i:end] = [[label, False, True, None, sum(x[MASS] for x in group), False, group, []]]
+                out[i:end] = [[label, False, True, None, sum(x[MASS] for x in group), 0, group, []]]
             i += 1
     return out
 
@@ -199,7 +209,7 @@ def merge_items(a: list, b: list) -> list:
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
     items = a[ITEMS] if not b[ITEMS] else b[ITEMS] if not a[ITEMS] and a[LABEL] == "#text" else align(a[ITEMS], b[ITEMS])
     shown = _smallest(a[SHOWN], b[SHOWN]) if text is not None or a[LABEL] == "#root" else []
-    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[MASS] + b[MASS], a[FURNITURE] and b[FURNITURE], items, shown]
+    return [a[LABEL], a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED], text, a[MASS] + b[MASS], min(a[FURNITURE], b[FURNITURE]), items, shown]
 
 
 def _optional(item: list) -> list:
@@ -233,30 +243,27 @@ def align(a: list[list], b: list[list]) -> list[list]:
 def _general(items: list[list]) -> list[list]:
     """Labels reduced to tags ('!' marks furniture), so that page-bound names cannot widen a wrapper without end."""
     return [
-        x if x[LABEL].startswith("#") else [re.split(r"[.@!]", x[LABEL])[0] + "!" * x[FURNITURE], *x[OPTIONAL:]] for x in items
+        x if x[LABEL].startswith("#") else [re.split(r"[.@!]", x[LABEL])[0] + "!" * bool(x[FURNITURE]), *x[OPTIONAL:]] for x in items
     ]
 
 
 def _shown(page: Node) -> list[int]:
     """The content hash of a page by its telling texts outside furniture, all of them if none is long; none without text."""
-    texts: list[str] = []
 
-    def visit(node: Node) -> None:
+    def texts(node: Node, bar: int):
         for item in node.items:
             if isinstance(item, str):
                 if not item.isspace():
-                    texts.append(_squeezed(item))
-            elif not item.furniture:
-                visit(item)
+                    yield _squeezed(item)
+            elif item.furniture < bar:
+                yield from texts(item, bar)
 
-    visit(page)
-    telling = [t for t in texts if len(t) > _TELLING] or texts
+    telling = next(filter(None, ([t for t in texts(page, bar) if len(t) > _TELLING] for bar in (NAMED, HARD))), None) or [*texts(page, HARD)]
     return [xxhash.xxh64_intdigest("\n".join(telling).encode("utf-8", "surrogatepass"))] if telling else []
 
 
-def wrapper_of(node: Node, inside: bool = False, shown: list[int] | None = None) -> list:
+def wrapper_of(node: Node, shown: list[int] | None = None) -> list:
     """The wrapper of a single page: its own token stream, folded."""
-    furniture = inside or node.furniture
     if shown is None:
         shown = _shown(node)
     items: list[list] = []
@@ -269,13 +276,13 @@ def wrapper_of(node: Node, inside: bool = False, shown: list[int] | None = None)
                 last[TEXT], last[MASS], last[SHOWN] = None, last[MASS] + len(item), []
             else:
                 constant = item if len(item) <= _CONSTANT else None
-                items.append(["#text", False, False, constant, len(item), furniture, [], shown if constant is not None else []])
+                items.append(["#text", False, False, constant, len(item), 0, [], shown if constant is not None else []])
         elif item.tag not in ("br", "hr"):
-            items.append(wrapper_of(item, furniture, shown))
+            items.append(wrapper_of(item, shown))
     items = _folded(items)
     if len(items) > _WIDEST:
         items = _folded(_general(items))
-    return [node.label, False, False, None, sum(x[MASS] for x in items), furniture, items, shown if node.tag == "#root" else []]
+    return [node.label, False, False, None, sum(x[MASS] for x in items), node.furniture, items, shown if node.tag == "#root" else []]
 
 
 def _variable(item: list) -> int:
@@ -292,15 +299,15 @@ def _is_constant(item: list, pages: list[int]) -> bool:
     return item[TEXT] is not None and len(pages) >= _FEWEST and len({*item[SHOWN]} & {*pages}) >= _NEARLY_ALL * len(pages)
 
 
-def _kept(item: list, pages: list[int], article: bool = False) -> int:
-    """Characters of text outside furniture that is no constant of the host; a heading counts unless ``article``."""
-    if item[FURNITURE]:
+def _kept(item: list, pages: list[int], article: bool = False, bar: int = NAMED) -> int:
+    """Characters of text outside furniture (from ``bar`` on) that is no constant of the host; a heading counts unless ``article``."""
+    if item[FURNITURE] >= bar:
         return 0
     if item[LABEL] == "#text":
         return 0 if _is_constant(item, pages) else item[MASS]
     if not article and _tag(item) in _HEADINGS:
         return item[MASS]
-    return sum(_kept(x, pages, article) for x in item[ITEMS])
+    return sum(_kept(x, pages, article, bar) for x in item[ITEMS])
 
 
 def _tag(item: list) -> str:
@@ -312,8 +319,57 @@ def _article_like(label: str) -> bool:
     return tag in ("article", "main") or label.endswith("@main") or (tag in ("div", "section", "td") and bool(ARTICLE_WORDS & set(words)))
 
 
+def _overruled(wrapper: list) -> set[str]:
+    """Labels of parts that are furniture by name only, but hold the article; the wrapper is changed accordingly.
+
+    That is a part with most of the host's text, or, if there is no article elsewhere, one with an article's tag or heading.
+    """
+    pages, free = wrapper[SHOWN], set()
+
+    def declares(item: list) -> bool:
+        return item[FURNITURE] < HARD and (_tag(item) in ("article", "main", "h1") or any(map(declares, item[ITEMS])))
+
+    def named(item: list):
+        if item[FURNITURE] in (NAMED, APART):
+            yield item
+        elif not item[FURNITURE]:
+            for child in item[ITEMS]:
+                yield from named(child)
+
+    def article(item: list, least: float) -> bool:
+        if item[FURNITURE] or not item[ITEMS]:
+            return False
+        telling = _article_like(item[LABEL]) or any(_tag(x) == "h1" for x in item[ITEMS])
+        return telling and _kept(item, pages) >= least or any(article(x, least) for x in item[ITEMS])
+
+    def settle(item: list) -> None:
+        if item[LABEL] in free and item[FURNITURE] < HARD:
+            item[FURNITURE] = 0
+        for child in item[ITEMS]:
+            settle(child)
+
+    total = _kept(wrapper, pages, bar=HARD)
+    while total:
+        elsewhere = article(wrapper, _ENOUGH * total)
+        found = {
+            x[LABEL] for x in named(wrapper) if not x[LABEL].endswith("!") and (
+                2 * _kept_inside(x, pages) > total and (x[FURNITURE] == NAMED or not elsewhere) or not elsewhere and declares(x))
+        } - free
+        if not found:
+            break
+        free |= found
+        settle(wrapper)
+    return free
+
+
+def _kept_inside(item: list, pages: list[int]) -> int:
+    return sum(_kept(x, pages, bar=HARD) for x in item[ITEMS])
+
+
 def plan_of(wrapper: list, pages: int) -> dict:
-    """Where the host keeps its article (a path of labels, or none) and the constants in there that are furniture."""
+    """Where the host keeps its article (a path of labels, or none), the constants in there that are furniture, and the
+    labels whose names wrongly tell of furniture."""
+    free = _overruled(wrapper)
     best: tuple[list, list[str]] | None = None
     total = _variable(wrapper)
 
@@ -363,7 +419,7 @@ def plan_of(wrapper: list, pages: int) -> dict:
     if total:
         enter(wrapper, 0)
     # Where the constants are most of the text, the pages are copies that differ in trifles.
-    return {"root": root, "drop": sorted(constants) if mass[True] < mass[False] else []}
+    return {"root": root, "drop": sorted(constants) if mass[True] < mass[False] else [], "free": sorted(free)}
 
 
 # --- extraction -----------------------------------------------------------------------------------------
@@ -371,12 +427,28 @@ def plan_of(wrapper: list, pages: int) -> dict:
 def extract(html: str | None, plan: dict | None = None) -> str:
     """The blocks of the article, white space squeezed, joined by line ends; '' if there are none."""
     page = parse(html or "")
+    own = plan is None
+    if own:
+        plan = {"root": None, "drop": [], "free": sorted(_overruled(wrapper_of(page)))}
+    text = _article(page, plan)
+    if not text and not own:
+        text = _article(page, {"root": None, "drop": [], "free": sorted(_overruled(wrapper_of(page)))})
+    # A page with text has some result: then names tell nothing.
+    return text or _article(page, {"root": None, "drop": [], "free": None})
+
+
+def _article(page: Node, plan: dict) -> str:
     roots: list[Node] = []
-    if plan and plan["root"]:
+    free = plan["free"]
+
+    def furniture(node: Node) -> bool:
+        return node.furniture == HARD or (node.furniture > 0 and free is not None and node.label not in free)
+
+    if plan["root"]:
         wanted = plan["root"]
 
         def find(node: Node, depth: int) -> None:
-            if node.furniture or wanted[depth] not in (node.label, node.tag):
+            if furniture(node) or wanted[depth] not in (node.label, node.tag):
                 return
             if depth + 1 == len(wanted):
                 roots.append(node)
@@ -386,15 +458,15 @@ def extract(html: str | None, plan: dict | None = None) -> str:
                     find(item, depth + 1)
 
         find(page, 0)
-    elif plan is None or not plan["root"]:
+    else:
         # No variable text to go by: declared articles, if there are any.
         def declared(node: Node) -> None:
             for item in node.items:
-                if isinstance(item, Node) and not item.furniture:
+                if isinstance(item, Node) and not furniture(item):
                     roots.append(item) if item.tag in ("article", "main") else declared(item)
 
         declared(page)
-    drop = {tuple(x) for x in plan["drop"]} if plan else set()
+    drop = {tuple(x) for x in plan["drop"]}
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -409,7 +481,7 @@ def extract(html: str | None, plan: dict | None = None) -> str:
         for item in node.items:
             if isinstance(item, str):
                 parts.append(item)
-            elif item.furniture:
+            elif furniture(item):
                 if item.tag not in INLINE:
                     flush(node.label)
             elif item.tag in INLINE:

@@ -143,3 +143,22 @@ def test_text_beside_an_inner_container_stays():
 def test_inner_container_is_taken_if_only_constants_are_around():
     inner = lambda i: f'<div class="content"><h2>Our magazine</h2><p>Read us daily</p><article><h1>T{i}</h1><p>{LONG}{i}</p></article></div>'
     assert texts([page(i, inner(i)).replace("post-body", "outer") for i in range(6)]) == [f"T{i}\n{LONG}{i}" for i in range(6)]
+
+
+def test_a_name_does_not_hide_the_article():
+    wraps = ['<div class="content with-sidebar">', '<div id="page" class="has-banner">', '<div class="widget-wrap"><div class="search-page">']
+    for wrap in wraps:
+        body = lambda i: f'{wrap}<h1>T{i}</h1><p>{LONG}{i}</p><div class="sidebar">s{i}</div>' + "</div>" * wrap.count("<div")
+        for pages in ([page(i, body(i)).replace("post-body", "outer") for i in range(6)], [page(1, body(1)).replace("post-body", "outer")]):
+            for text in texts(pages):
+                assert LONG in text and "T" in text.split("\n")[0] and not any(line.startswith("s") for line in text.split("\n"))
+        assert H.extract("<body>" + body(3) + "</body>") == f"T3\n{LONG}3"
+
+
+def test_long_comments_stay_furniture():
+    body = lambda i: f'<article><h1>T{i}</h1><p>{LONG}{i}</p></article><div id="comments"><article><p>{f"says {i} " * 60}</p></article></div>'
+    assert texts([page(i, body(i)).replace("post-body", "outer") for i in range(6)]) == [f"T{i}\n{LONG}{i}" for i in range(6)]
+
+
+def test_no_text_is_lost_whole():
+    assert H.extract('<body><nav>n</nav><div class="notice"><p>All there is</p></div></body>') == "All there is"
