@@ -31,7 +31,8 @@ LOOKALIKES = {
 WILD = "aeiou"
 #: Log costs of the channel: a look-alike, dropping one, a wild card, dropping a separator, a break kept as such.
 LOOKALIKE, DROP_LOOKALIKE, WILDCARD, DROP, BREAK = -0.7, -9.0, -2.0, -0.1, -1.0
-LONGEST_DISGUISE = 24
+#: A token of more characters that is one held-down letter and one sign stands for no word.
+LONGEST_HELD = 24
 
 TRAIN_DOCS = 20_000
 MODEL_FEATURES = 5_000
@@ -42,6 +43,9 @@ _CODE = {c: i for i, c in enumerate(ALPHABET)}
 _EDGE_SIGNS = "".join(set(LOOKALIKES) - set("!(<0123456789"))
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _REPEATED = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
+#: Signs between words of one token: neither letters nor digits nor look-alikes nor wild cards.
+_BETWEEN = re.compile(rf"(?:(?![{re.escape(''.join(LOOKALIKES))}*])[\W_])+")
 
 
 # --- language model -------------------------------------------------------------------------------------
@@ -112,10 +116,11 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 def decode(token: str, model: np.ndarray) -> str:
     """The likeliest reading of a token under the model; breaks come back as blanks."""
-    states = {(0, 0): (0.0, "")}
+    # A path is a chain (path before, piece), so that long tokens are not copied at every step.
+    states: dict = {(0, 0): (0.0, None)}
     for options in lattice(token):
         reached: dict = {}
-        for (a, b), (score, text) in states.items():
+        for (a, b), (score, path) in states.items():
             for piece, cost in options:
                 x, y, s = a, b, score + cost
                 for c in piece:
@@ -123,10 +128,18 @@ def decode(token: str, model: np.ndarray) -> str:
                     s += model.item(x, y, z)
                     x, y = y, z
                 if (x, y) not in reached or s > reached[x, y][0]:
-                    reached[x, y] = (s, text + piece)
+                    reached[x, y] = (s, (path, piece) if piece else path)
         states = reached
-    best = max(((s + model.item(a, b, 0), t) for (a, b), (s, t) in states.items()), default=(0.0, ""))
-    return best[1].replace("#", " ")
+    def text_of(path) -> str:
+        pieces = []
+        while path:
+            path, piece = path
+            pieces.append(piece)
+        return "".join(reversed(pieces))
+
+    ends = [(s + model.item(a, b, 0), path) for (a, b), (s, path) in states.items()]
+    highest = max(s for s, _ in ends)
+    return max(text_of(path) for s, path in ends if s == highest).replace("#", " ")
 
 
 def _edges(token: str) -> str:
@@ -148,22 +161,41 @@ def restore(token: str, model: np.ndarray) -> str:
     core = _edges(token)
     if core.isalpha() and not _REPEATED.search(core):
         return core
-    if len(core) > LONGEST_DISGUISE or not any(c.isalpha() for c in core):
-        return core if core.isalpha() else ""
+    if not any(c.isalpha() for c in core):
+        return ""
+    if core.isalpha():
+        return decode(core, model) or core
+    if len(core) > LONGEST_HELD and len([*groupby(core)]) <= 2:
+        return ""
     return decode(core, model)
 
 
+def readings(token: str, model: np.ndarray) -> tuple[str, ...]:
+    """All words that a lower-case token may stand for: as a whole, of several letters between signs, and with letters doubled."""
+    if token.isalpha() and not _DOUBLED.search(token):
+        return (token,)
+    found = {restore(token, model)}
+    core = _edges(token)
+    parts = [p for p in _BETWEEN.split(core) if sum(c.isalpha() for c in p) > 1]
+    if len(parts) > 1 or parts and parts[0] != core:
+        found.update(restore(p, model) for p in parts)
+    for word in [*found, *parts]:
+        if word.isalpha() and not _REPEATED.search(word) and len(_DOUBLED.findall(word)) > 1:
+            found.add(decode(word, model))
+    return tuple(found)
+
+
 def restored_words(text: str | None, model: np.ndarray, cache: dict) -> set[str]:
     """The distinct words of a text, disguises undone."""
     low = (text or "").lower()
     words = set()
     for token in set(low.split()):
-        word = cache.get(token)
-        if word is None:
+        found = cache.get(token)
+        if found is None:
             if len(cache) > 300_000:
                 cache.clear()
-            word = cache[token] = restore(token, model)
-        words.add(word)
+            found = cache[token] = readings(token, model)
+        words.update(found)
     for run in _SPACED.findall(low):
         if len(set(run)) > 3:
             words.update(decode(run, model).split())

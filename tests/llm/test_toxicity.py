@@ -125,3 +125,18 @@ def test_without_labels(spark):
     assert T.toxicity(docs.limit(0), none).count() == 0
     assert T.accepted_documents(docs, none).schema == docs.schema
     assert math.isclose(T.fit_logistic(np.zeros((10, 1)), np.array([1.0] * 5 + [0.0] * 5))[0], 0, abs_tol=1e-6)
+
+
+@pytest.mark.parametrize("written, words", [
+    ("stupid...pathetic...worthless", {"stupid", "pathetic", "worthless"}), ("you,worthless,pathetic,moron!", {"worthless", "pathetic", "moron"}),
+    ("house/garden-1d10t-window/l0s3r", {"idiot", "loser", "house"}), ("1d1" + "0" * 25 + "t", {"idiot"}), ("st" + "u" * 30 + "pid", {"stupid"}),
+    ("iiddiioott", {"idiot", "iiddiioott"}), ("m_o_r_o_n", {"moron"}), ("stu.pid", {"stupid"}), ("s.t.u.p.i.d" * 4 + "!", set()),
+    ("house_" * 40 + "mor0n", {"moron", "house"}),
+])
+def test_long_and_doubled_tokens_bring_words(model, written, words):
+    found = T.restored_words(written, model, {})
+    assert words <= found and found
+
+
+def test_decoding_is_linear(model):
+    assert len(T.decode("1d10t" * 4000, model)) >= 12_000
