@@ -1,15 +1,15 @@
 """Secret scan with a recursive decoding worklist.
 
-Every layer of a text is scanned by the base patterns.  Encoded pieces of a layer (percent escapes, Unicode
-escapes, base64, compressed bytes) are decoded into further layers until nothing new appears; a layer seen before at the
-same place is not entered again, so cycles end.  Each decoded character keeps the span of the original text
+Every layer of a text is scanned by the base patterns.  A layer is decoded into further layers until nothing new
+appears: the whole layer with its percent escapes, its Unicode escapes or its base64 pieces decoded in their places, each
+base64 piece by itself at every alignment, and what compressed bytes in any of these hold.  Bytes that are no text become
+replacement characters.  A layer seen before at the same place is not entered again, so cycles end.  Each decoded character keeps the span of the original text
 that it came from, and a finding in a layer is reported at its place in the document.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -35,16 +35,22 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
-PERCENT_PIECE = re.compile(r"""[^\s"'<>]*%[0-9A-Fa-f]{2}[^\s"'<>]*""")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-ESCAPED_PIECE = re.compile(rf"\S*(?:{re.sub(r'\((?!\?)', '(?:', ESCAPE.pattern)})\S*")
+#: A run, or several lines of one; only the first line has to be long.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+#: Fewer printable bytes in a row hold neither a finding nor an encoded one.
+_READABLE = re.compile(rb"[\x20-\x7e]{14}")
+_PIECE = re.compile(r"\S+")
+_PACKED = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 #: First bytes of the compressed forms that are unpacked.
 MAGIC = {b"\x1f\x8b": "gzip", b"BZh": "bz2", b"\xfd7zXZ\x00": "xz", b"\x28\xb5\x2f\xfd": "zstd"}
 #: Characters that the layers of one document may hold together; a document that asks for more is flagged.
 MAX_DECODED = 1 << 27
 
 Span = tuple[int, int]
+Layer = tuple[str, list[Span]]
+_REPLACED = re.compile("[\udc80-\udcff]")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -55,25 +61,24 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(s, KINDS[k], e) for s, k, e in sorted(found)]
 
 
-def _text_of(data: bytes, spans: list[Span]) -> tuple[str, list[Span]] | None:
-    """UTF-8 bytes with one source span each -> characters with one source span each; None if it is no text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text or sum(c.isprintable() or c.isspace() for c in text) < len(text):
-        return None
+def _text_of(data: bytes, spans: list[Span]) -> Layer:
+    """UTF-8 bytes with one source span each -> characters with one source span each; other bytes are replaced."""
+    text = data.decode("utf-8", "surrogateescape")
     if len(text) == len(data):
-        return text, spans
+        return _REPLACED.sub("\ufffd", text), spans
     out, at = [], 0
     for c in text:
-        n = len(c.encode("utf-8"))
+        n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
         out.append((spans[at][0], spans[at + n - 1][1]))
         at += n
-    return text, out
+    return _REPLACED.sub("\ufffd", text), out
+
+
+def _clean(text: str) -> bool:
+    return "\ufffd" not in text and all(c.isprintable() or c.isspace() for c in text)
 
 
-def _percent(piece: str, spans: list[Span]):
+def _percent(piece: str, spans: list[Span]) -> tuple[bytes, list[Span]]:
     data, sources, at = bytearray(), [], 0
     while at < len(piece):
         if PERCENT.match(piece, at):
@@ -85,10 +90,10 @@ def _percent(piece: str, spans: list[Span]):
             data += raw
             sources += [spans[at]] * len(raw)
             at += 1
-    return _text_of(bytes(data), sources)
+    return bytes(data), sources
 
 
-def _escapes(piece: str, spans: list[Span]):
+def _escapes(piece: str, spans: list[Span]) -> Layer:
     out, sources, at = [], [], 0
     for m in ESCAPE.finditer(piece):
         code = int(next(g for g in m.groups()[:4] if g), 16) if any(m.groups()[:4]) else int(m[5])
@@ -139,27 +144,68 @@ def _unpack(data: bytes, most: int) -> bytes | None:
     return None
 
 
-def _base64(piece: str, spans: list[Span], most: int):
-    """Decoded text with source spans, through any compressed layers; (None, True) if it is too large."""
-    body = piece.rstrip("=")
-    if len(body) % 4 == 1:
-        return None, False
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), altchars=b"-_" if set(body) & set("-_") else None, validate=True)
-    except (binascii.Error, ValueError):
-        return None, False
-    sources = [(spans[4 * (i // 3) + i % 3][0], spans[min(len(body) - 1, 4 * (i // 3) + i % 3 + 1)][1]) for i in range(len(data))]
-    # Compressed bytes may hold compressed bytes; the whole piece is then the source of every character.
-    seen = set()
-    while (inner := _unpack(data, most)) is not None:
-        if len(inner) > most:
-            return None, True
-        mark = hashlib.sha256(inner).digest()
-        if mark in seen:
-            return None, False
-        seen.add(mark)
-        data, sources = inner, [(spans[0][0], spans[-1][1])] * len(inner)
-    return _text_of(data, sources), False
+def _held(data: bytes, spans: list[Span], most: int) -> tuple[list[Layer], bool]:
+    """The texts in compressed bytes that begin anywhere in ``data``, and whether one was too large.
+
+    Compressed bytes may hold compressed bytes; all of them are the source of every character.
+    """
+    out, over = [], False
+    for m in _PACKED.finditer(data):
+        inner, seen = data[m.start():], set()
+        while (more := _unpack(inner, most)) is not None:
+            if len(more) > most:
+                return out, True
+            mark = hashlib.sha256(more).digest()
+            if mark in seen:
+                break
+            seen.add(mark)
+            inner = more
+        if seen and inner:
+            out.append(_text_of(inner, [(spans[m.start()][0], spans[-1][1])] * len(inner)))
+    return out, over
+
+
+def _beside(layer: Layer, packed: list[Layer]) -> Layer:
+    """A layer without the findings that its compressed parts, which may store text as it is, have unpacked already."""
+    text, spans = layer
+    for s, _, e in base_spans(text) if packed else ():
+        if any(text[s:e] in inner for inner, _ in packed):
+            text = text[:s] + "\ufffd" * (e - s) + text[e:]
+    return text, spans
+
+
+def _base64(piece: str, spans: list[Span], most: int) -> tuple[list[Layer], Layer | None, bool]:
+    """What a piece holds when read from each of its first four characters on, so from any separator in it, too; what
+    may stand in its place, if that is plain text; and whether something was too large."""
+    kept = [i for i, c in enumerate(piece) if c not in "= \t\r\n"]
+    whole = "".join(piece[i] for i in kept)
+    out, place, over = [], None, False
+    # Signs of both alphabets have one meaning each; the piece may mix them before and behind a separator.
+    standard = whole.replace("-", "+").replace("_", "/")
+    for shift in range(4):
+        body = standard[shift:]
+        body = body[:len(body) - (len(body) % 4 == 1)]
+        data = base64.b64decode(body + "=" * (-len(body) % 4))
+        if not data:
+            continue
+        at = [spans[i] for i in kept[shift:]]
+        sources = [(at[4 * (i // 3) + i % 3][0], at[4 * (i // 3) + i % 3 + 1][1]) for i in range(len(data))]
+        packed, large = _held(data, sources, most)
+        over |= large
+        out += packed
+        layer = _text_of(data, sources)
+        clean = _clean(layer[0])
+        if not shift and (packed or clean):
+            place = packed[0] if packed else layer
+        if (clean and not shift) or _READABLE.search(data):
+            out.append(_beside(layer, packed))
+        if b"\0" in data:
+            # Two bytes a character.
+            some = [i for i, b in enumerate(data) if b]
+            bare = bytes(data[i] for i in some)
+            if _READABLE.search(bare):
+                out.append(_beside(_text_of(bare, [sources[i] for i in some]), packed))
+    return out, place, over
 
 
 @dataclass
@@ -172,15 +218,59 @@ class Scan:
 
 
 def _pieces(text: str):
-    """(decoder name, start, end) of the encoded pieces of a layer."""
-    if "%" in text:
-        yield from (("percent", m.start(), m.end()) for m in PERCENT_PIECE.finditer(text))
-    if "\\u" in text or "\\x" in text or "&#" in text:
-        yield from (("escapes", m.start(), m.end()) for m in ESCAPED_PIECE.finditer(text))
+    """(start, end) of the base64 pieces of a layer, also over line ends."""
     for m in BASE64.finditer(text):
         # Lower-case words and numbers are not worth a trial.
         if not (m[0].islower() and m[0].isalpha()) and not m[0].isdigit():
-            yield "base64", m.start(), m.end()
+            yield m.start(), m.end(), True
+    if "\n" in text:
+        yield from ((m.start(), m.end(), False) for m in WRAPPED.finditer(text))
+
+
+def _decoded(layer: str, spans: list[Span] | None, most: int) -> tuple[list[Layer], bool]:
+    """The layers that one layer decodes to, and whether one was too large."""
+    out, over = [], False
+    percent = PERCENT.search(layer)
+    escaped = ("\\u" in layer or "\\x" in layer or "&#" in layer) and ESCAPE.search(layer)
+    pieces = [*_pieces(layer)]
+    if not (percent or escaped or pieces):
+        return out, over
+    spans = spans or [(i, i + 1) for i in range(len(layer))]
+    if percent:
+        data, sources = _percent(layer, spans)
+        # Compressed bytes reach up to a blank; else all that follows would be their source.
+        packed = []
+        for m in _PIECE.finditer(layer) if _PACKED.search(data) else ():
+            if PERCENT.search(m[0]):
+                found, large = _held(*_percent(m[0], spans[m.start(): m.end()]), most)
+                packed += found
+                over |= large
+        out += [*packed, _beside(_text_of(data, sources), packed)]
+    if escaped:
+        text, sources = _escapes(layer, spans)
+        packed = []
+        for m in _PIECE.finditer(layer) if _PACKED.search(text.encode("latin-1", "replace")) else ():
+            if ESCAPE.search(m[0]):
+                part, places = _escapes(m[0], spans[m.start(): m.end()])
+                found, large = _held(part.encode("latin-1", "replace"), places, most)
+                packed += found
+                over |= large
+        out += [*packed, _beside((text, sources), packed)]
+    for wrapped in (False, True):
+        parts, places, at = [], [], 0
+        for s, e, single in pieces:
+            if single == wrapped:
+                continue
+            found, place, large = _base64(layer[s:e], spans[s:e], most)
+            out += found
+            over |= large
+            if place and s >= at:
+                parts += [layer[at:s], place[0]]
+                places += [*spans[at:s], *place[1]]
+                at = e
+        if at:
+            out.append(("".join([*parts, layer[at:]]), [*places, *spans[at:]]))
+    return out, over
 
 
 def scan(text: str | None, most: int = MAX_DECODED) -> Scan:
@@ -194,26 +284,21 @@ def scan(text: str | None, most: int = MAX_DECODED) -> Scan:
         if spans is not None:
             for s, kind, e in base_spans(layer):
                 found.add((spans[s][0], kind, max(spans[i][1] for i in (s, e - 1))))
-        for name, s, e in _pieces(layer):
-            piece = layer[s:e]
-            sources = [(i, i + 1) for i in range(s, e)] if spans is None else spans[s:e]
-            if name == "base64":
-                decoded, over = _base64(piece, sources, left)
-                result.exhausted |= over
-            else:
-                decoded = _percent(piece, sources) if name == "percent" else _escapes(piece, sources)
-            if decoded is None or decoded[0] == piece:
+        decoded, over = _decoded(layer, spans, left)
+        result.exhausted |= over
+        for inner, sources in decoded:
+            if not inner or inner == layer:
                 continue
-            mark = (sources[0][0], sources[-1][1], hashlib.sha256(decoded[0].encode("utf-8", "surrogatepass")).digest())
+            mark = (sources[0][0], sources[-1][1], hashlib.sha256(inner.encode("utf-8", "surrogatepass")).digest())
             if mark in result._seen:
                 continue
-            if len(decoded[0]) > left:
+            if len(inner) > left:
                 result.exhausted = True
                 continue
-            left -= len(decoded[0])
+            left -= len(inner)
             result._seen.add(mark)
             result.layers += 1
-            work.append(decoded)
+            work.append((inner, sources))
     result.spans = sorted(found, key=lambda f: (f[0], KINDS.index(f[1]), f[2]))
     return result
 

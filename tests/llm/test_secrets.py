@@ -91,3 +91,20 @@ def test_redacted_documents(spark):
     out = S.redacted_documents(docs)
     assert out.schema == docs.schema
     assert sorted(map(tuple, out.collect())) == [(1, "a [assign] b", 12, "k"), (2, "clean", 5, "k"), (3, None, None, None)]
+
+
+HEX_OF = lambda x: "".join(f"%{b:02X}" for b in x)
+
+
+@pytest.mark.parametrize("text", [
+    '"pass\\u0077ord": "hunter2hunter2"', "password = %68unter2hunter2", "password&#61; hunter2hunter2", "password%3D hunter2hunter2",
+    "?q=caf%E9&password%3Dhunter2hunter2", "%00password%3Dhunter2hunter2", b64(b"\xef\xbb\xbfpassword=hunter2hunter2"), b64(b"\x00\x1bpassword=hunter2hunter2"),
+    b64("password=hunter2hunter2".encode("utf-16")), HEX_OF(gzip.compress(b"password=hunter2hunter2")), "?data=" + HEX_OF(zlib.compress(b"password=hunter2hunter2")),
+    "".join(f"\\x{b:02x}" for b in gzip.compress(b"password=hunter2hunter2")), "files/v1/" + b64(b"x password=hunter2hunter2"), "some_name-" + b64(gzip.compress(b"password=hunter2hunter2")),
+    base64.encodebytes(b"Some words that fill the line of the base64 code and pass" + b"word=hunter2hunter2 and more").decode(),
+])
+def test_findings_across_and_beside_pieces(text):
+    before, after = "Ünï ", "  end"
+    spans = S.scan(before + text + after).spans
+    assert spans and all(k == "assign" and len(before) <= s < e <= len(before) + len(text) for s, k, e in spans)
+    assert "hunter2hunter2" not in S.redact(before + text + after, spans)
