@@ -1,7 +1,8 @@
 """Substring deduplication over sliding spans of sentences.
 
-Every run of consecutive sentences that is long enough is hashed: from each sentence on, the shortest run of at
-least LEAST_SENTENCES sentences and LEAST_WORDS words.  The hashes are joined globally; a span that a document
+From each sentence on and up to each sentence, the shortest run of at least LEAST_SENTENCES sentences and LEAST_WORDS
+words is hashed.  Both kinds together cover every sentence of any repeated run of that length: a sentence whose shortest
+run leaves the repeated run lies in the shortest run that ends with it.  The hashes are joined globally; a span that a document
 with a smaller id has too, or that comes again within its document, is a repeat, and the sentences it covers are removed.
 """
 
@@ -63,6 +64,24 @@ def spans(pieces: list[tuple[int, int, str, int]]) -> list[tuple[int, int, bytes
     return out
 
 
+def runs(pieces: list[tuple[int, int, str, int]]) -> list[tuple[int, int, bytes]]:
+    """Those of ``spans`` and the shortest long enough run up to every sentence, in order, each once."""
+    found = spans(pieces)
+    known = {(first, n) for first, n, _ in found}
+    kept = [i for i, p in enumerate(pieces) if p[3]]
+    begin, words, more = 0, 0, []
+    for end, last in enumerate(kept):
+        words += pieces[last][3]
+        while end - begin >= LEAST_SENTENCES and words - pieces[kept[begin]][3] >= LEAST_WORDS:
+            words -= pieces[kept[begin]][3]
+            begin += 1
+        first, n = kept[begin], last + 1 - kept[begin]
+        if end + 1 - begin >= LEAST_SENTENCES and words >= LEAST_WORDS and (first, n) not in known:
+            encoded = (pieces[i][2].encode("utf-8", "surrogatepass") for i in kept[begin: end + 1])
+            more.append((first, n, xxhash.xxh3_128_digest(b"\x1f".join(encoded))))
+    return sorted([*found, *more]) if more else found
+
+
 def _texts(batches):
     for batch in batches:
         for start in range(0, batch.num_rows, 300):
@@ -80,7 +99,7 @@ def span_table(docs: DataFrame) -> DataFrame:
             hashes = bytearray()
             for doc_id, text in zip(ids, texts):
                 text, seen = text or "", set()
-                found = spans(sentences(text))
+                found = runs(sentences(text))
                 mark = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42)
                 mark -= (mark >> 63) << 64
                 for first, n, digest in found:

@@ -63,3 +63,37 @@ def test_documents(spark):
 
 def test_nothing(spark):
     assert D.substring_dedup(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def brute(texts):
+    """Text left of each document if every repeated long enough run is removed, all runs compared."""
+    owner, out = {}, []
+    for text in texts:
+        pieces = D.sentences(text)
+        gone, own = set(), {}
+        for i in range(len(pieces)):
+            for j in range(i + D.LEAST_SENTENCES, len(pieces) + 1):
+                if sum(p[3] for p in pieces[i:j]) >= D.LEAST_WORDS:
+                    key = tuple(p[2] for p in pieces[i:j])
+                    if key in owner or own.setdefault(key, i) < i:
+                        gone |= set(range(i, j))
+        for key in own:
+            owner.setdefault(key, True)
+        out.append("".join(text[s:e] for k, (s, e, _, _) in enumerate(pieces) if k not in gone))
+    return out
+
+
+def test_every_repeated_run_is_removed_whole(spark):
+    import random
+
+    random.seed(3)
+    pool = [" ".join(f"v{k}x{j}" for j in range(random.randint(1, 9))) + ". " for k in range(40)]
+    texts = ["A b c d e f g. H i j k l m n. O p. Only here one. ", "Before this. A b c d e f g. H i j k l m n. O p. After it. "]
+    for _ in range(60):
+        at = random.randrange(36)
+        texts.append("".join([*random.choices(pool, k=2), *pool[at: at + random.randint(2, 6)], *random.choices(pool, k=3)]))
+    texts += texts[5:8]
+    want = brute(texts)
+    assert want[1] == "Before this. After it. " and want[-1] == ""
+    rows = D.substring_dedup(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), keep_text=True).collect()
+    assert [r["text"] for r in sorted(rows, key=lambda r: r["doc_id"])] == want
