@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, stored, word_count
+from .hard_negatives import hard_negatives
 from .histogram_sort import shard_by_bytes
 from .html_wrappers import extract_main_text
 from .mixing import mix_sources
@@ -102,3 +103,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) for x in embedding] AS v, row_number() OVER () AS uid FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT a.uid, a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM e a JOIN e c ON a.uid != c.uid AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS place FROM s WHERE same QUALIFY place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.uid, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.uid = s.uid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
