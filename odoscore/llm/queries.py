@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, stored, word_count
+from .conversation_repair import conversation_digests, damaged
 from .hard_negatives import hard_negatives
 from .histogram_sort import shard_by_bytes
 from .html_wrappers import extract_main_text
@@ -122,3 +123,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_digests(damaged(read(spark, sf_dir, "conversations")), F.col("absent"))
