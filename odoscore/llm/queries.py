@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_decode, bpe_encode
 from .common import read, stored, word_count
 from .conversation_repair import conversation_digests, damaged
 from .hard_negatives import hard_negatives
@@ -128,3 +129,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(damaged(read(spark, sf_dir, "conversations")), F.col("absent"))
+
+
+@query("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = bpe_decode(bpe_encode(docs, path), path)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
