@@ -17,23 +17,31 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Characters of a leaf; shorter texts are encoded as they are.
-LEAF = 8192
+LEAF = 16_384
+#: Words whose encoding a worker remembers, and bytes of text that it takes at once.
+WORDS, SLICE = 1 << 18, 1 << 19
 #: Leaves joined by one task; a second round joins what these tasks leave of a text.
 FAN = 64
 #: Tokens of either side in the first window of a seam.
 WINDOW = 4
 
+# For a few numbers an array of the machine's own is quicker than numpy's.
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
+
 _LIBRARY_SPLITS = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
@@ -88,8 +96,33 @@ def certain(before: str, after: str) -> bool:
     return not (before == "'" and right == "L")
 
 
-class Codec:
+#: White space, then anything else: wherever a match ends, so does a piece, if there is no other white space in the text.
+_WORD = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+_OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
+
+
+class Vocabulary:
+    """The bytes of every token; all that decoding needs."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        letters = _letters_of_bytes()
+        self.bytes_of: dict[int, bytes] = {i: bytes([letters[c] for c in token]) for token, i in described["model"]["vocab"].items()}
+        added = {t["id"]: t["content"] for t in described["added_tokens"]}
+        self.bytes_of.update((i, content.encode()) for i, content in added.items())
+        contents = sorted(added.values(), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """Text of the tokens; bytes that are no text become U+FFFD, unknown numbers nothing."""
+        found = self.bytes_of
+        return b"".join([found.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+
+class Codec(Vocabulary):
     def __init__(self, path: str):
+        super().__init__(path)
         # Spark runs one task a core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -98,24 +131,28 @@ class Codec:
         # Settings for batches of equal length have no place here.
         self.library.no_truncation()
         self.library.no_padding()
-        added = {i: t.content for i, t in self.library.get_added_tokens_decoder().items()}
-        letters = _letters_of_bytes()
-        self.bytes_of: dict[int, bytes] = {}
-        for token, i in self.library.get_vocab(with_added_tokens=True).items():
-            self.bytes_of[i] = added[i].encode() if i in added else bytes(letters[c] for c in token)
-        contents = sorted(added.values(), key=len, reverse=True)
-        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
+        self.words: dict[str, bytes] = {}
+        # Numbers take two bytes on their way between tasks where they can.
+        self.node = "<u2" if max(self.bytes_of) < 1 << 16 else "<u4"
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def decode(self, ids: Iterable[int]) -> str:
-        """Text of the tokens; bytes that are no text become U+FFFD, unknown numbers nothing."""
-        found = self.bytes_of
-        return b"".join([found.get(i, b"") for i in ids]).decode("utf-8", "replace")
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed numbers of each text; equal words are encoded once."""
+        whole = [_OTHER_SPACE.search(t) or (self.added is not None and self.added.search(t)) for t in texts]
+        split = [[t] if odd else _WORD.findall(t) for t, odd in zip(texts, whole)]
+        # A text that is taken whole is no word, and is not remembered as one.
+        every: set[str] = set()
+        every.update(*[words for words, odd in zip(split, whole) if not odd])
+        new = list(every.difference(self.words))
+        alone = [t for t, odd in zip(texts, whole) if odd]
+        if len(self.words) + len(new) > WORDS:
+            self.words, new = {}, list(every)
+        found = [_packed(e.ids) for e in self.library.encode_batch_fast([*new, *alone], add_special_tokens=False)]
+        self.words.update(zip(new, found))
+        others = iter(found[len(new):])
+        return [next(others) if odd else b"".join([self.words[w] for w in words]) for words, odd in zip(split, whole)]
 
     def leaves(self, text: str, size: int) -> list[str]:
         """Halves of halves of at most ``size`` characters; no added token is cut."""
@@ -186,12 +223,19 @@ class Codec:
         return nodes[0]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
 def _packed(ids: list[int]) -> bytes:
+    if _NATIVE:
+        return array("I", ids).tobytes()
     return np.array(ids, dtype="<u4").tobytes()
 
 
@@ -199,14 +243,26 @@ def _unpacked(packed: bytes) -> list[int]:
     return np.frombuffer(packed, dtype="<u4").tolist()
 
 
-def _map(df: DataFrame, columns: dict[str, T.DataType], make) -> DataFrame:
-    """``make(batch)`` gives the columns beside ``row``, which passes through."""
+def _slices(batch: pa.RecordBatch, column: str) -> Iterable[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``SLICE`` bytes in a column."""
+    start, held = 0, 0
+    for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        held += size
+        if held >= SLICE:
+            yield batch.slice(start, i + 1 - start)
+            start, held = i + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def _map(df: DataFrame, column: str, columns: dict[str, T.DataType], make) -> DataFrame:
+    """``make(values of column)`` gives the columns beside ``row``, which passes through."""
     schema = T.StructType([df.schema["row"], *[T.StructField(name, of) for name, of in columns.items()]])
 
     def run(batches):
-        for batch in batches:
-            arrays = make(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *arrays.values()], names=["row", *arrays])
+        for part in (part for batch in batches for part in _slices(batch, column)):
+            arrays = make(part.column(column).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column("row"), *arrays.values()], names=["row", *arrays])
 
     return df.mapInArrow(run, schema)
 
@@ -228,8 +284,8 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", keep_text: bo
     short, long = held.where(F.length("text") <= LEAF), held.where(F.length("text") > LEAF)
     leaf, fan = LEAF, FAN
 
-    def whole(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"ids": pa.array([_packed(ids) for ids in codec(path).encode_all(batch.column("text").to_pylist())], pa.binary())}
+    def whole(texts: list[str]) -> dict[str, pa.Array]:
+        return {"ids": pa.array(codec(path).encode_all(texts), pa.binary())}
 
     def cut(batches):
         for batch in batches:
@@ -239,16 +295,19 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", keep_text: bo
                 yield pa.RecordBatch.from_arrays(columns, names=["mark", "place", "piece"])
 
     def encode(batches):
-        for batch in batches:
-            found = codec(path).encode_all(batch.column("piece").to_pylist())
-            columns = [batch.column("mark"), batch.column("place"), pa.array(map(_packed, found), pa.binary())]
+        for part in (part for batch in batches for part in _slices(batch, "piece")):
+            found = [np.frombuffer(b, "<u4").astype(codec(path).node).tobytes() for b in codec(path).encode_all(part.column("piece").to_pylist())]
+            columns = [part.column("mark"), part.column("place"), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["mark", "place", "ids"])
 
     def joined(table: pa.Table) -> pa.Table:
-        table = table.sort_by("place")
-        ids = codec(path).concatenate([_unpacked(b) for b in table.column("ids").to_pylist()])
+        table, own = table.sort_by("place"), codec(path)
+        ids = own.concatenate([np.frombuffer(b, own.node).tolist() for b in table.column("ids").to_pylist()])
         place = pa.array([table.column("place")[0].as_py() // fan], pa.int64())
-        return pa.table({"mark": table.column("mark")[:1], "place": place, "ids": pa.array([_packed(ids)], pa.binary())})
+        return pa.table({"mark": table.column("mark")[:1], "place": place, "ids": pa.array([np.array(ids, own.node).tobytes()], pa.binary())})
+
+    def widened(found: list[bytes]) -> dict[str, pa.Array]:
+        return {"ids": pa.array([np.frombuffer(b, codec(path).node).astype("<u4").tobytes() for b in found], pa.binary())}
 
     node = "mark binary, place long, ids binary"
     marked = long.withColumn("mark", F.unhex(F.sha2("text", 256)))
@@ -256,8 +315,10 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", keep_text: bo
     # Leaves are dealt over all tasks; those of equal texts meet before they are encoded.
     nodes = pieces.groupBy("mark", "place").agg(F.first("piece").alias("piece")).mapInArrow(encode, node)
     nodes = nodes.groupBy("mark", F.expr(f"place div {fan}").alias("of")).applyInArrow(joined, node)
-    nodes = nodes.groupBy("mark").applyInArrow(joined, node)
-    encoded = _map(short, {"ids": T.BinaryType()}, whole).unionByName(marked.select("row", "mark").join(nodes.drop("place"), "mark").drop("mark"))
+    nodes = nodes.groupBy("mark").applyInArrow(joined, node).select("mark", F.col("ids").alias("nodes"))
+    # The numbers of all long texts are no side to broadcast, however few they are in a small table.
+    met = marked.select("row", "mark").join(nodes.hint("merge"), "mark").drop("mark")
+    encoded = _map(short, "text", {"ids": T.BinaryType()}, whole).unionByName(_map(met, "nodes", {"ids": T.BinaryType()}, widened))
     out = [F.col(f"row.`{c}`").alias(c) for c in names]
     return encoded.select(*out, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), "ids")
 
@@ -272,8 +333,7 @@ def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame
     packed = F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias("ids")
     held = encoded.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), packed)
 
-    def decode(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        own = codec(path)
-        return {"decoded": pa.array([own.decode(_unpacked(ids)) for ids in batch.column("ids").to_pylist()], pa.string())}
+    def decode(packed: list[bytes]) -> dict[str, pa.Array]:
+        return {"decoded": pa.array([vocabulary(path).decode(_unpacked(ids)) for ids in packed], pa.string())}
 
-    return _map(held, {"decoded": T.StringType()}, decode).select(*[F.col(f"row.`{c}`").alias(c) for c in names], "decoded")
+    return _map(held, "ids", {"decoded": T.StringType()}, decode).select(*[F.col(f"row.`{c}`").alias(c) for c in names], "decoded")
