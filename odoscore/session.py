@@ -77,21 +77,22 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The store that holds ``path``, and the path in its terms."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder of the store that holds ``path``; one that is gone already is no error."""
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     files.delete(place, True)
 
 
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file within one store, in place of a file of the target's name."""
-    files, place = _file_system(spark, source)
-    _, goal = _file_system(spark, target)
+    files, place = file_system(spark, source)
+    _, goal = file_system(spark, target)
     files.mkdirs(goal.getParent())
     if files.exists(goal):
         files.delete(goal, False)

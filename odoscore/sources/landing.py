@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from functools import reduce
 
@@ -12,6 +14,7 @@ from ..functions.cleaning import typed_snapshot
 from ..operators.lineage import Scratch, cut_lineage
 from ..operators.stats import missing_sql
 from ..schemas import FILE_MAX_NULL_FRACTION, SNAPSHOT_COLUMNS, SNAPSHOT_KEY, SNAPSHOT_TYPES
+from .records import CSV_OPTIONS, QUOTE, open_after, records, split_lines
 
 # Position of a row in its file: split offset, then order inside the split.
 POSITION = ["file_name", "split_start", "row_pos"]
@@ -47,52 +50,71 @@ def discover(spark: SparkSession, folder: str, log: DataFrame | None = None, pat
 
 
 def landing_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The lines of all files with their POSITION: the only scan of the text."""
-    return spark.read.text([literal_path(p) for p in paths]).select(
-        _name(_plain("_metadata.file_path")).alias("file_name"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("row_pos"),
-        "value",
+    """The lines of all files with their POSITION and what their quotes do: the only scan of the text."""
+    raw = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths]).select(
+        _name(_plain("_metadata.file_path")).alias("file_name"), F.col("_metadata.file_block_start").alias("split_start"), "value"
+    )
+    # A mark of byte order is no part of the first name.
+    text = F.ltrim("value", F.lit("\ufeff"))
+    return split_lines(raw).select(
+        "file_name", "split_start", F.monotonically_increasing_id().alias("row_pos"), "value", "ending",
+        F.contains("value", F.lit(QUOTE)).alias("quoted"), open_after(text, False).alias("opens"),
     )
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """First line of every file that has one: (file_name, header, header_pos)."""
-    first = lines.filter("split_start = 0").groupBy("file_name").agg(F.min_by(F.struct("value", "row_pos"), "row_pos").alias("h"))
+def file_headers(rows: DataFrame) -> DataFrame:
+    """First record of every file that has one: (file_name, header, header_pos)."""
+    first = rows.filter("split_start = 0").groupBy("file_name").agg(F.min_by(F.struct("value", "row_pos"), "row_pos").alias("h"))
     return first.select("file_name", F.ltrim(F.col("h.value"), F.lit("\ufeff")).alias("header"), F.col("h.row_pos").alias("header_pos"))
 
 
+def header_names(header: str) -> list[str]:
+    """Column names as a header writes them; a quoted one may hold commas and line breaks."""
+    return [c.strip() for c in next(csv.reader(io.StringIO(header, newline="")), [])]
+
+
 def _columns(header: str) -> list[str]:
     """Column names of a header; an empty or repeated name gets one that nothing asks for."""
-    names = [c.strip().strip('"') for c in header.split(",")]
+    names = header_names(header)
     return [c if c and c not in names[:i] else f"_unnamed_{i}" for i, c in enumerate(names)]
 
 
+def _field(name: str) -> str:
+    return "`" + name.replace("`", "``") + "` string"
+
+
 def read_landing(spark: SparkSession, found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Discovered files -> (typed rows with POSITION columns, file table (file_name, columns)), both stored.
+    """Discovered files -> (typed rows with POSITION columns, file table (file_name, columns, unclosed)), both stored.
 
-    The text is parsed once, into stored lines.  Files are matched by column name; those that share a header are
-    typed together, so the plan grows with the number of distinct headers only, and they alone reach the driver.
-    The paths of one delivery do too.  A blank file has no named column; one of no bytes is not listed.
+    The text is scanned once, into stored lines; lines become records, whatever splits the files are read in.  Files are
+    matched by column name; those that share a header are typed together, so the plan grows with the number of distinct
+    headers only, and they alone reach the driver.  The paths of one delivery do too.  A blank file has no named column; one
+    of no bytes is not listed.  ``unclosed`` tells that a quote of the file is never closed.
     """
     found = scratch.store(found)
     lines = scratch.store(landing_lines(spark, [r["path"] for r in found.select("path").orderBy("path").collect()]))
-    headers = scratch.store(file_headers(lines))
-    body = lines.join(headers, "file_name").filter(
+    texts = records(lines, scratch.store)
+    headers = scratch.store(file_headers(texts))
+    body = texts.join(headers, "file_name").filter(
         "NOT (split_start = 0 AND row_pos = header_pos) AND trim(value) <> ''"
     )
-    frames = []
-    for row in headers.select("header").distinct().collect():
-        kind = ", ".join(f"`{c}` string" for c in _columns(row["header"]))
-        parsed = body.filter(F.col("header") == row["header"]).select(F.from_csv("value", kind).alias("r"), *POSITION)
+    frames, kinds = [], [(r["header"], _columns(r["header"])) for r in headers.select("header").distinct().collect()]
+    for header, names in kinds:
+        if not names:
+            continue
+        parsed = body.filter(F.col("header") == header).select(
+            F.from_csv("value", ", ".join(map(_field, names)), CSV_OPTIONS).alias("r"), *POSITION
+        )
         frames.append(typed_snapshot(parsed.select("r.*", *POSITION), keep=POSITION))
     if frames:
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     else:
         rows = spark.createDataFrame([], snapshot_schema({"file_name": "string", "split_start": "bigint", "row_pos": "bigint"}))
-    names = F.transform(F.split("header", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    files = found.join(headers, "file_name", "left").select(
-        "file_name", "path", "length", "modified_at", F.coalesce(names, F.array().cast("array<string>")).alias("columns")
+    named = spark.createDataFrame([(h, header_names(h)) for h, _ in kinds], "header string, columns array<string>")
+    unclosed = texts.filter("unclosed").select("file_name").distinct().withColumn("unclosed", F.lit(True))
+    files = found.join(headers.join(named, "header"), "file_name", "left").join(unclosed, "file_name", "left").select(
+        "file_name", "path", "length", "modified_at", F.coalesce("columns", F.array().cast("array<string>")).alias("columns"),
+        F.coalesce("unclosed", F.lit(False)).alias("unclosed"),
     )
     return scratch.store(rows), files
 
@@ -102,14 +124,15 @@ def validate_files(
 ) -> DataFrame:
     """One status row per file: rows, largest null fraction, status, reason.
 
-    A file is rejected when its header lacks a required column or when more
-    than half of the values of one required column are NULL.  A file without
-    rows passes.
+    A file is rejected when its header lacks a required column, when more
+    than half of the values of one required column are NULL, or when ``files``
+    say that it is ``unclosed``.  A file without rows passes.
     """
     required = required or SNAPSHOT_COLUMNS
     kinds = dict(rows.dtypes)
     worst = F.expr("greatest(" + ", ".join(f"avg(cast({missing_sql(c, kinds[c])} AS int))" for c in required) + ")")
     filled = rows.groupBy(file).agg(F.count("*").alias("n_rows"), worst.alias("max_null_fraction"))
+    unclosed = F.col("unclosed") if "unclosed" in files.columns else F.lit(False)
     absent = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("columns"))
     return (
         files.join(filled, file, "left")
@@ -118,6 +141,7 @@ def validate_files(
         .withColumn(
             "reason",
             F.when(F.size("missing_columns") > 0, F.concat(F.lit("missing: "), F.array_join("missing_columns", ",")))
+            .when(unclosed, "unclosed quote")
             .when(F.round("max_null_fraction", 10) > FILE_MAX_NULL_FRACTION, "null fraction above 0.5"),
         )
         .withColumn("status", F.when(F.col("reason").isNull(), "accepted").otherwise("rejected"))

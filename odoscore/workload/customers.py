@@ -155,27 +155,30 @@ def ingest_dedup_keep_last(spark, sf_dir):
 days AS (SELECT *, day(snapshot_date) AS d FROM staged),
 sizes AS (SELECT count(*)::bigint AS all_rows, count(*) FILTER (d <= 6)::bigint AS early, count(*) FILTER (d > 6 OR k % 20 = 0)::bigint AS late,
   count(*) FILTER (d = 1)::bigint AS first_day, count(*) FILTER (d = 2)::bigint AS second_day,
-  round(sum(monthly_charges + CASE WHEN d = 1 THEN 1.0::double ELSE 0.0::double END), 2) AS table_charges FROM days)
-SELECT batch_seq, status, n_rows, table_rows_before, table_rows_after, table_charges, second_day AS quarantine_rows FROM (
+  count(*) FILTER (d = 8)::bigint AS quoted,
+  round(sum(monthly_charges + CASE WHEN d = 1 THEN 1.0::double WHEN d = 8 THEN monthly_charges + 2.0::double ELSE 0.0::double END), 2) AS table_charges FROM days)
+SELECT batch_seq, status, n_rows, table_rows_before, table_rows_after, table_charges, second_day AS quarantine_rows, quoted AS ids_of_two_lines FROM (
  SELECT 1::bigint AS batch_seq, 'accepted' AS status, early AS n_rows, 0::bigint AS table_rows_before, early AS table_rows_after, * FROM sizes
  UNION ALL SELECT 2, 'accepted', late, early, all_rows, * FROM sizes
  UNION ALL SELECT 3, 'accepted', first_day, all_rows, all_rows, * FROM sizes
- UNION ALL SELECT 3, 'rejected', second_day, all_rows, all_rows, * FROM sizes)""")
+ UNION ALL SELECT 3, 'rejected', second_day, all_rows, all_rows, * FROM sizes
+ UNION ALL SELECT 4, 'accepted', quoted, all_rows, all_rows + quoted, * FROM sizes)""")
 def ingest_log(spark, sf_dir):
-    """Three ingest runs over real CSV files.
+    """Four ingest runs over real CSV files.
 
     The second folder content includes the first.  In the third, the file of day 1 comes again under its name with other
-    charges, and a file of day 2 without payment methods is rejected.
+    charges, and a file of day 2 without payment methods is rejected.  In the fourth, customers of day 8 come under names
+    of two lines, with notes that hold quotes, commas and line breaks, under a header that holds a comma.
     """
     root = scratch_path(spark, "ingest")
     paths = IngestPaths(*[f"{root}/{name}" for name in ("incoming", "processed", "log", "quarantine")])
     rows = cut_lineage(staged(spark, sf_dir, ["k"]), "table")
     day = F.dayofmonth("snapshot_date")
 
-    def deliver(part: DataFrame, name: str | None = None) -> None:
+    def deliver(part: DataFrame, name: str | None = None, more: tuple[str, ...] = ()) -> None:
         target = paths.incoming if name is None else f"{root}/outbox/{name}"
-        out = part.select(*SNAPSHOT_COLUMNS)
-        (out if name is None else out.coalesce(1)).write.mode("append").option("header", True).csv(target)
+        out = part.select(*[F.col(f"`{c}`") for c in (*more, *SNAPSHOT_COLUMNS)])
+        (out if name is None else out.coalesce(1)).write.mode("append").option("header", True).option("escape", '"').csv(target)
         if name is not None:
             made = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(target).select("path").first()[0]
             move_file(spark, made, f"{paths.incoming}/{name}")
@@ -190,11 +193,18 @@ def ingest_log(spark, sf_dir):
     deliver(first.withColumn("monthly_charges", F.col("monthly_charges") + 1), "day 1 + %.csv")
     deliver(rows.filter(day == 2).withColumn("payment_method", F.lit(None).cast("string")), "day 2.csv")
     ingest(spark, paths, 3, "2024-02-03")
+    note = F.concat(F.lit('said "yes",\n\nthen '), F.col("customer_id"), F.lit('"'))
+    quoted = rows.filter(day == 8).withColumn("note, free", note).withColumn("monthly_charges", F.col("monthly_charges") + 2)
+    deliver(quoted.withColumn("customer_id", F.concat(F.lit("two\nlines,"), "customer_id")), "day 8.csv", ("note, free",))
+    ingest(spark, paths, 4, "2024-02-04")
     summary = ingest_summary(spark.read.parquet(paths.log))
-    charges = spark.read.parquet(paths.processed).agg(F.round(F.sum("monthly_charges"), 2)).scalar()
+    table = spark.read.parquet(paths.processed)
+    charges = table.agg(F.round(F.sum("monthly_charges"), 2)).scalar()
+    two = table.agg(F.count_if(F.contains("customer_id", F.lit("\n")))).scalar()
     held = spark.read.parquet(paths.quarantine).agg(F.count("*")).scalar()
     return summary.select(
         "batch_seq", "status", "n_rows", "table_rows_before", "table_rows_after", charges.alias("table_charges"), held.alias("quarantine_rows"),
+        two.alias("ids_of_two_lines"),
     )
 
 
