@@ -12,12 +12,13 @@ from ..functions.features import features
 from ..operators.lineage import cut_lineage
 from ..operators.ranking import stage_batches, stratified_split
 from ..operators.stats import feature_stats
-from ..plans.ingest import STORED, IngestPaths, ingest, ingest_summary
+from ..plans.ingest import STORED, IngestPaths, ingest, ingest_summary, ingest_versioned
 from ..plans.train import fit_scaler, standardize
 from ..schemas import FEATURES, SNAPSHOT_COLUMNS
 from ..session import delete_path, move_file, scratch_path
 from ..sources.customers import synthesize_customers
 from ..sources.landing import accepted_rows, checked_files, keep_last, validate_files
+from ..sources.versions import VersionedTables, version_history
 from .catalog import query
 from .fragments import CLEAN, CLEAN_COLUMNS, FEATURE_ROWS, SPLIT, STAGED
 from .telemetry import rounded
@@ -208,6 +209,40 @@ def ingest_log(spark, sf_dir):
     )
 
 
+@query(f"WITH {STAGED}, " + """
+days AS (SELECT *, day(snapshot_date) AS d, day(snapshot_date) > 6 OR k % 20 = 0 AS again FROM staged),
+sizes AS (SELECT count(*) FILTER (d <= 6)::bigint AS early, count(*) FILTER (again)::bigint AS late, count(*)::bigint AS every,
+  count(DISTINCT snapshot_date) FILTER (d <= 6)::bigint AS early_days, count(DISTINCT snapshot_date) FILTER (again)::bigint AS late_days,
+  count(DISTINCT snapshot_date) FILTER (again AND d <= 6)::bigint AS common_days,
+  round(sum(monthly_charges) FILTER (d <= 6), 2) AS early_charges,
+  round(sum(monthly_charges + CASE WHEN again THEN 1.0::double ELSE 0.0::double END), 2) AS all_charges FROM days)
+SELECT 1::bigint AS version, early AS n_rows, 0::bigint AS rows_before, early AS rows_after, early_charges AS table_charges,
+ early_days AS n_written, 0::bigint AS n_replaced FROM sizes
+UNION ALL SELECT 2, late, early, every, all_charges, late_days, common_days FROM sizes""")
+def ingest_versions(spark, sf_dir):
+    """Two ingest runs as two versions, both read after the second: what the first one showed is still there."""
+    root = scratch_path(spark, "ingest-versions")
+    rows = cut_lineage(staged(spark, sf_dir, ["k"]), "table")
+    day, tables = F.dayofmonth("snapshot_date"), VersionedTables(spark, f"{root}/tables")
+    late = rows.filter((day > 6) | (F.col("k") % 20 == 0)).withColumn("monthly_charges", F.col("monthly_charges") + 1)
+    for number, part in enumerate([rows.filter(day <= 6), late], 1):
+        part.select(*SNAPSHOT_COLUMNS).write.mode("append").option("header", True).csv(f"{root}/incoming")
+        ingest_versioned(spark, tables, f"{root}/incoming", f"2024-02-0{number}")
+
+    def seen(number: int) -> DataFrame:
+        version = tables.at(number)
+        charges = tables.read("processed", version).agg(F.round(F.sum("monthly_charges"), 2)).scalar()
+        log = tables.read("log", version).filter(F.col("batch_seq") == number)
+        return log.groupBy(F.col("batch_seq").alias("version")).agg(
+            F.sum("n_rows").alias("n_rows"), F.max("table_rows_before").alias("rows_before"), F.max("table_rows_after").alias("rows_after"),
+        ).withColumn("table_charges", charges)
+
+    parts = version_history(tables).filter("table = 'processed'").select(
+        "version", F.col("n_written").cast("long").alias("n_written"), F.col("n_replaced").cast("long").alias("n_replaced")
+    )
+    return seen(1).unionByName(seen(2)).join(parts, "version")
+
+
 def _draw(number: int) -> str:
     block, lane = divmod(number, 4)
     return f"(('0x' || substr(md5('42:{block}:' || c_custkey), {8 * lane + 1}, 8))::bigint / 4294967296.0::double)"
