@@ -7,16 +7,19 @@ retried task must send each row to the partition it went to before.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import SALT_COUNT
 from .lineage import cut_lineage
 
-#: A key with fewer rows is no burden to a task, whatever its share.
-HOT_ROWS = 1_000_000
+#: A key with fewer bytes is no burden to a task, whatever its share.
+HOT_BYTES = 256 * 1024 * 1024
+#: Rows weigh as many units of this many bytes as they fill.
+UNIT_BYTES = 256
 
 
 def salt(columns: list[str], n_salts: int = SALT_COUNT) -> Column:
@@ -87,17 +90,63 @@ def salted_distinct(df: DataFrame, keys: list[str], value: str, name: str = "n_d
     return pairs.groupBy(*keys).agg(F.count(value).alias(name))
 
 
-def heavy_keys(df: DataFrame, keys: list[str], n_partitions: int | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
-    """(keys..., n_rows, n_salts) of the keys with more rows than one task should get.
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the length of texts and of nested values as text, and eight for any other value."""
 
-    A task's fair part is the row count over ``n_partitions`` (default: the session's shuffle partitions), and at least
-    ``min_rows``.  There are fewer hot keys than partitions, and ``n_salts`` parts of a hot key are fair again.
+    def of(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        if isinstance(field.dataType, T.ArrayType):
+            return F.coalesce(8 * F.size(column), F.lit(0)) + 8
+        if isinstance(field.dataType, (T.StructType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 8
+        return F.lit(8)
+
+    return reduce(add, [of(f) for f in df.schema])
+
+
+def heavy_keys(
+    df: DataFrame, keys: list[str], n_partitions: int | None = None, min_rows: int | None = None, min_bytes: int = HOT_BYTES
+) -> DataFrame:
+    """(keys..., n_rows, n_salts) of the keys with more bytes than one task should get.
+
+    A task's fair part is all bytes over ``n_partitions`` (default: the session's shuffle partitions), and at least
+    ``min_bytes``.  With ``min_rows`` every row weighs the same, and the fair part is at least that many rows.  There are fewer
+    hot keys than partitions, and ``n_salts`` parts of a hot key are fair again.
+
+    One scan finds the candidates with a frequent-items sketch, a few numbers per task instead of all distinct keys; a second one looks at
+    wide rows, if there are any.  The sketch tracks sixteen items a partition, so a key above half the fair part is always
+    among them; only the candidates are then counted, and where there are none, nothing is.
     """
+    hot = _hot_keys(df, keys, n_partitions, min_rows, min_bytes)
+    if hot is None:
+        empty = df.select(*keys, F.lit(0).cast("long").alias("n_rows"), F.lit(0).alias("n_salts"))
+        return df.sparkSession.createDataFrame([], empty.schema)
+    return hot
+
+
+def _hot_keys(df: DataFrame, keys: list[str], n_partitions: int | None, min_rows: int | None, min_bytes: int) -> DataFrame | None:
     n_partitions = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    fair = F.greatest(counts.agg(F.sum("n_rows")).scalar() / F.lit(n_partitions), F.lit(min_rows))
-    hot = counts.withColumn("_fair", fair).filter(F.col("n_rows") > F.col("_fair"))
-    return hot.select(*keys, "n_rows", F.ceil(F.col("n_rows") / F.col("_fair")).cast("int").alias("n_salts"))
+    least = min_rows if min_rows is not None else max(1, min_bytes // UNIT_BYTES)
+    units = F.lit(1) if min_rows is not None else F.ceil(row_bytes(df) / UNIT_BYTES).cast("int")
+    weighed = df.select(*keys, F.xxhash64(*keys).alias("_h"), units.alias("_units"))
+    tracked = min(1_000_000, max(1024, 16 * n_partitions))
+    # A hash of the key stands for it: two keys that share one are candidates together.
+    sketch = F.expr(f"approx_top_k(_h, {min(tracked, 8 * n_partitions + 64)}, {tracked})")
+    top, rows, total = weighed.agg(sketch, F.count("*"), F.sum("_units")).first()
+    fair = max((total or 0) / n_partitions, least)
+    # Rows that weigh more than one unit are sketched once more, by what they weigh beyond it.
+    if (total or 0) > rows:
+        more = weighed.where("_units > 1").select(F.explode(F.array_repeat("_h", F.col("_units") - 1)).alias("_h"))
+        top = [*top, *more.agg(sketch).first()[0]]
+    # Estimates are never below the count, and half of a hot key's weight is in one of the two.
+    found = [(h,) for h in {item["item"] for item in top or [] if item["count"] > fair / 2}]
+    if not found:
+        return None
+    some = weighed.join(F.broadcast(df.sparkSession.createDataFrame(found, "_h long")), "_h", "left_semi")
+    counts = some.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.sum("_units").alias("_weight")).filter(F.col("_weight") > fair)
+    return counts.select(*keys, "n_rows", F.ceil(F.col("_weight") / fair).cast("int").alias("n_salts"))
 
 
 def salted_join(
@@ -108,22 +157,23 @@ def salted_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     n_partitions: int | None = None,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
+    min_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Equi-join that splits only the hot keys of ``big``.
 
     Rows of a hot key get one of its salts from ``salt_on`` (columns of ``big`` that differ within the key); the matching rows
     of ``small`` are repeated once per salt.  All other keys keep salt 0.  Where nothing is hot the join is the plain one.
-    ``hot`` is a table as :func:`heavy_keys` makes it, if one is known; else the keys are counted first.  It has
+    ``hot`` is a table as :func:`heavy_keys` makes it, if one is known; else the keys are looked for first.  It has
     fewer rows than there are partitions, so it is broadcast.  ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the big side on the left: {how!r} is not supported")
     if hot is None:
-        # With fewer rows than a hot key must have, none can be hot.
-        if big.count() <= min_rows:
+        hot = _hot_keys(big, keys, n_partitions, min_rows, min_bytes)
+        if hot is None:
             return big.join(small, keys, how)
-        hot = cut_lineage(heavy_keys(big, keys, n_partitions, min_rows), "table")
+        hot = cut_lineage(hot, "table")
     # A NULL key matches nothing, so its rows may be spread as widely as the widest key.
     widest = hot.agg(F.max("n_salts")).first()[0]
     if widest is None:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.contract import validate_rows
 from ..functions.telemetry import with_temperature
 from ..operators.lineage import Scratch, cut_lineage
-from ..plans.alerts import alerts_from_cells, latency_cells
+from ..plans.alerts import alerts_from_summary, latency_summary
 from ..plans.ingest import IngestPaths, ingest, upsert
 from ..plans.score import score, write_scores
 from ..schemas import ALERT_WINDOW
@@ -62,11 +62,16 @@ def deduplicated(events: DataFrame, key: list[str], time: str, lateness: str = L
 def scored(
     payloads: DataFrame, model: PipelineModel, version: str, promoted: str, keep: list[str], received_at: str | None = None
 ) -> DataFrame:
-    """Stateless scoring of the payloads that satisfy the contract."""
+    """Stateless scoring of the payloads that satisfy the contract; :func:`rejected` has the others."""
     valid, _ = validate_rows(payloads)
     return score(valid, model, version, promoted, keep, received_at)
 
 
+def rejected(payloads: DataFrame) -> DataFrame:
+    """The payloads that :func:`scored` leaves out, with what they violate."""
+    return validate_rows(payloads)[1]
+
+
 def start_table(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append to a Parquet table, exactly once (the file sink logs its batches)."""
     return (
@@ -102,24 +107,25 @@ def start_ingest(
 
 
 def start_alerts(
-    log: DataFrame, table: str, checkpoint: str, time: str = "started_at", lateness: str = LATENESS,
+    log: DataFrame, table: str, checkpoint: str, lake: DataFrame, time: str = "started_at", lateness: str = LATENESS,
     width: str = ALERT_WINDOW, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Alert rows of every window once it closes.
 
-    The stream only counts (window, latency, outcome).  A closed window comes
-    out whole in one micro-batch, where the batch rule is applied to it.  Each
-    micro-batch owns one partition, so a replay overwrites its own rows.
+    The stream keeps a summary of bounded size per window.  A closed window comes out whole in one micro-batch, where
+    the batch rule is applied to it; the values next to the percentile are looked up in ``lake``, the log as a table.
+    Each micro-batch owns one partition, so a replay overwrites its own rows.
     """
-    cells = latency_cells(event_time(log, time).withWatermark(time, lateness), time, width)
+    summaries = latency_summary(event_time(log, time).withWatermark(time, lateness), time, width)
+    landed = event_time(lake, time)
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()     # the rule looks at it twice; the state must not be updated twice
-        alerts_from_cells(batch).write.mode("overwrite").parquet(f"{table}/stream_batch={batch_id}")
-        batch.unpersist()
+        with Scratch(batch.sparkSession) as scratch:    # the rule looks at it twice; the state must not be updated twice
+            closed = scratch.store(batch)
+            alerts_from_summary(closed, landed, time, width).write.mode("overwrite").parquet(f"{table}/stream_batch={batch_id}")
 
     return (
-        cells.writeStream.foreachBatch(evaluate).outputMode("append").option("checkpointLocation", checkpoint)
+        summaries.writeStream.foreachBatch(evaluate).outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(**(trigger or ONCE)).start()
     )
 

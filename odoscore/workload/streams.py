@@ -114,5 +114,5 @@ def stream_alerts(spark, sf_dir):
     for last in (False, True):
         if last:
             flush.push("started_at", newest(spark, sf_dir), latency_ms=0.0, is_error=False)
-        jobs.start_alerts(flush.stream, f"{root}/table", f"{root}/state").awaitTermination()
+        jobs.start_alerts(flush.stream, f"{root}/table", f"{root}/state", views.request_log(spark, sf_dir)).awaitTermination()
     return alert_rows(spark.read.parquet(f"{root}/table"))

@@ -111,6 +111,32 @@ def test_no_task_holds_a_hot_key(spark):
     assert max(r[1] for r in parts) < 1.3 * 500
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_key_above_the_bound_is_missed(spark, seed):
+    """Zipf counts over many keys, rows of very different widths."""
+    rows = spark.range(200_000).select(
+        F.floor(F.pow(F.rand(seed), F.lit(-0.9))).cast("long").alias("k"), F.expr("repeat('x', cast(rand(7) * 40 AS int) * int(id % 11 = 0))").alias("t"), "id"
+    )
+    df = lineage.cut_lineage(rows.withColumn("t", F.when(F.col("k") == 23, F.repeat(F.lit("wide"), 9000)).otherwise(F.col("t"))), "table")
+    for partitions in (6, 40, 300):
+        exact = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > 200_000 / partitions).collect()}
+        assert exact == {r["k"]: r["n_rows"] for r in skew.heavy_keys(df, ["k"], partitions, 1).collect()}
+    units = F.ceil(skew.row_bytes(df) / skew.UNIT_BYTES)
+    total = df.agg(F.sum(units)).first()[0]
+    heavy = {r["k"] for r in df.groupBy("k").agg(F.sum(units).alias("u")).filter(F.col("u") > total / 20).collect()}
+    found = {r["k"]: r["n_salts"] for r in skew.heavy_keys(df, ["k"], 20, min_bytes=1).collect()}
+    # Few rows, but wide ones: hot by bytes, not by rows.
+    assert set(found) == heavy and 23 in found and 23 not in {r["k"] for r in skew.heavy_keys(df, ["k"], 20, 1).collect()}
+
+
+def test_a_wide_key_is_salted(spark):
+    df = frame(spark, [(f"k{i % 500}", float(i)) for i in range(3000)]).withColumn("t", F.when(F.col("k") == "k7", F.repeat(F.lit("wide"), 9000)))
+    small = df.select("k").distinct()
+    joined = skew.salted_join(df, small, ["k"], ["id"], n_partitions=8, min_bytes=10_000)
+    assert "_salt" in lineage.executed_plan(joined) and joined.count() == 3000
+    assert "_salt" not in lineage.executed_plan(skew.salted_join(df, small, ["k"], ["id"], n_partitions=8))
+
+
 def test_amplify_counts_and_skew(spark):
     df = frame(spark, [("a", 1.0)] * 3 + [("b", 1.0)] * 2 + [("c", 1.0)])
     grown = skew.amplify_top_key(df, "k", 180)
