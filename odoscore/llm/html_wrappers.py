@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
@@ -30,6 +31,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
 FORMAT = frozenset("b i em strong u s small big font tt abbr cite code sub sup mark q ins del kbd samp var time bdi bdo".split())
 INLINE = FORMAT | frozenset("a span label".split())
+#: Parts that stand within a line, so that the text around them is one block.
+WITHIN = INLINE | frozenset("button select object canvas map audio video".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: What declares a part to be no article text, and what declares an article.
 FURNITURE_TAGS = frozenset("nav footer aside form button select dialog menu head object canvas map audio video fieldset".split())
@@ -44,12 +47,15 @@ FURNITURE_WORDS = frozenset(
 APART_WORDS = frozenset("related recommended recommendations comment comments reply replies respond discussion disqus".split())
 ARTICLE_WORDS = frozenset("article content main post entry story body text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/><\"']*)", re.DOTALL)
+#: What follows a tag's name; a quoted value may hold the sign that ends a tag.
+_REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_QUOTED = re.compile(r"\"[^\"]*+\"|'[^']*+'|[\"'>]")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PART = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
-#: Longest pattern of labels that is folded, longest text that is kept as a constant, most items of one list before
+#: Longest pattern of labels that is folded, longest text that a wrapper holds itself (of a longer one the hash), most items of one list before
 #: their labels are reduced to tags, and deepest nesting (what lies deeper counts as part of its ancestor).
 _PERIOD, _CONSTANT, _WIDEST, _DEEPEST = 4, 200, 200, 100
 #: A constant is furniture if at least _NEARLY_ALL of the host's distinct pages show it; they are counted on the _SAMPLE
@@ -101,16 +107,62 @@ def _declared(tag: str, attributes: str) -> tuple[str, int]:
     return label, furniture
 
 
+class _Tags:
+    """The tokens of a page, in time that grows with its length only.
+
+    A tag whose quotes never close is text.  What such an attempt has passed outside quotes is kept: a later one that
+    gets there fails as well, so a page is gone over a few times at most, however many quotes stay open.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.end = html, html.rfind(">") + 1
+        self.failed: list[tuple[int, list[int], list[int]]] = []
+
+    def _hopeless(self, at: int) -> bool:
+        for first, starts, ends in self.failed:
+            i = bisect_left(starts, at) - 1
+            if at >= first and (i < 0 or ends[i] <= at):
+                return True
+        return False
+
+    def next(self, at: int) -> tuple[re.Match, int, str] | None:
+        """(match, end, attributes) of the first token from ``at`` on."""
+        while m := _TOKEN.search(self.html, at, self.end):
+            if not m[2]:
+                # An open comment takes the rest of the page.
+                open_comment = m[0].startswith("<!--") and not (m[0].endswith("-->") and len(m[0]) > 6)
+                return m, len(self.html) if open_comment else m.end(), ""
+            if not self._hopeless(m.end()):
+                rest = _REST.match(self.html, m.end(), self.end)
+                if rest:
+                    return m, rest.end(), rest[1]
+                self._fail(m.end())
+            at = m.start() + 1
+        return None
+
+    def _fail(self, at: int) -> None:
+        starts, ends = [], []
+        for q in _QUOTED.finditer(self.html, at, self.end):
+            starts.append(q.start())
+            # An open quote runs to the end.
+            ends.append(q.end() if q.end() - q.start() > 1 else len(self.html) + 1)
+            if q.end() - q.start() == 1:
+                break
+        self.failed.append((at, starts, ends))
+
+
 def parse(html: str) -> Node:
     """The nested token stream of a page; tags left open are closed where their parent ends."""
     root = Node("#root", "#root", 0)
-    stack, at, deeper = [root], 0, 0
-    for m in _TOKEN.finditer(html):
-        if m.start() < at:
-            continue
+    stack, at, deeper, forms = [root], 0, 0, []
+    last = html.find("<!--", html.rfind(">") + 1)
+    html = html if last < 0 else html[:last]
+    tags = _Tags(html)
+    while found := tags.next(at):
+        m, end_of, attributes = found
         if m.start() > at:
             stack[-1].items.append(html[at: m.start()])
-        at = m.end()
+        at = end_of
         if not m[2]:
             continue
         tag = m[2].lower()
@@ -126,7 +178,7 @@ def parse(html: str) -> Node:
                     break
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
+            if not attributes.endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(html, at)
                 at = end.end() if end else len(html)
             continue
@@ -135,9 +187,9 @@ def parse(html: str) -> Node:
         if tag in VOID or tag in FORMAT:
             continue
         if len(stack) > _DEEPEST:
-            deeper += not m[3].endswith("/")
+            deeper += not attributes.endswith("/")
             continue
-        if tag not in INLINE:
+        if tag not in WITHIN:
             while len(stack) > 1 and (stack[-1].tag in INLINE or stack[-1].tag == "p"):
                 stack.pop()
         closes = CLOSES.get(tag)
@@ -148,18 +200,44 @@ def parse(html: str) -> Node:
                     break
                 if stack[i].tag in ("ul", "ol", "dl", "table", "div", "article", "section"):
                     break
-        label, furniture = _declared(tag, m[3])
+        label, furniture = _declared(tag, attributes)
         if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
             furniture = HARD
         node = Node(tag, label, furniture)
+        if tag == "form":
+            forms.append((node, _declared("div", attributes)[1]))
         stack[-1].items.append(node)
-        if not m[3].endswith("/"):
+        if not attributes.endswith("/"):
             stack.append(node)
     if at < len(html):
         stack[-1].items.append(html[at:])
+    whole = _letters(root) if forms else 0
+    for form, otherwise in forms:
+        # A form round the whole page is no form of the article's.
+        if _holds(form) or _letters(form, "p") > max(_TELLING, whole / 2):
+            form.furniture = otherwise
     return root
 
 
+def _letters(node: Node, within: str | None = None) -> int:
+    """Characters of text, or of that within elements of a tag."""
+    inside = within is None or node.tag == within
+    return sum((len(x) if inside and not x.isspace() else 0) if isinstance(x, str) else _letters(x, None if inside else within) for x in node.items)
+
+
+def _holds(node: Node) -> bool:
+    return any(isinstance(x, Node) and (x.tag in ("article", "main", "h1") or _holds(x)) for x in node.items)
+
+
+def _constant(text: str) -> str:
+    """A text as a wrapper holds it; of a long one the hash, after a character that no page has."""
+    return text if len(text) <= _CONSTANT else _hashed(_squeezed(text))
+
+
+def _hashed(text: str) -> str:
+    return "\0" + xxhash.xxh3_128_hexdigest(text.encode("utf-8", "surrogatepass"))
+
+
 def _squeezed(text: str) -> str:
     return " ".join(unescape(text).split())
 
@@ -275,8 +353,7 @@ def wrapper_of(node: Node, shown: list[int] | None = None) -> list:
                 last = items[-1]
                 last[TEXT], last[MASS], last[SHOWN] = None, last[MASS] + len(item), []
             else:
-                constant = item if len(item) <= _CONSTANT else None
-                items.append(["#text", False, False, constant, len(item), 0, [], shown if constant is not None else []])
+                items.append(["#text", False, False, _constant(item), len(item), 0, [], shown])
         elif item.tag not in ("br", "hr"):
             items.append(wrapper_of(item, shown))
     items = _folded(items)
@@ -401,7 +478,7 @@ def plan_of(wrapper: list, pages: int) -> dict:
             constant = _is_constant(item, wrapper[SHOWN])
             mass[constant] += item[MASS]
             if constant:
-                constants.add((parent, _squeezed(item[TEXT])))
+                constants.add((parent, item[TEXT] if item[TEXT].startswith("\0") else _squeezed(item[TEXT])))
             return
         for child in item[ITEMS]:
             gather(child, parent if item[LABEL].startswith("#group") else item[LABEL])
@@ -467,6 +544,7 @@ def _article(page: Node, plan: dict) -> str:
 
         declared(page)
     drop = {tuple(x) for x in plan["drop"]}
+    hashed = any(text.startswith("\0") for _, text in drop)
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -474,7 +552,7 @@ def _article(page: Node, plan: dict) -> str:
         if parts:
             text = _squeezed("".join(parts))
             parts.clear()
-            if text and (parent, text) not in drop:
+            if text and (parent, text) not in drop and not (hashed and (parent, _hashed(text)) in drop):
                 blocks.append(text)
 
     def walk(node: Node) -> None:
@@ -482,7 +560,7 @@ def _article(page: Node, plan: dict) -> str:
             if isinstance(item, str):
                 parts.append(item)
             elif furniture(item):
-                if item.tag not in INLINE:
+                if item.tag not in WITHIN:
                     flush(node.label)
             elif item.tag in INLINE:
                 walk(item)

@@ -162,3 +162,44 @@ def test_long_comments_stay_furniture():
 
 def test_no_text_is_lost_whole():
     assert H.extract('<body><nav>n</nav><div class="notice"><p>All there is</p></div></body>') == "All there is"
+
+
+def test_a_form_round_the_page_is_no_form():
+    html = "<body><form id='aspnetForm'><div><article><h1>T</h1><p>One</p><form><p>search</p></form></article></div></form></body>"
+    assert H.extract(html) == "T\nOne"
+    assert H.extract("<body><form role='search'><h1>T</h1></form><p>One</p></body>") == "One"
+    text = "words of the article " * 5
+    assert H.extract(f"<form><div><p>{text}</p><p>{text}</p></div></form>") == "\n".join([text.strip()] * 2)
+    assert H.extract(f"<p>{text}</p><form><p>subscribe now</p></form>") == text.strip()
+
+
+def test_a_button_does_not_split_its_paragraph():
+    assert H.extract("<article><p>before <button>Copy</button>after</p><p>x <select><option>1</select> y</p></article>") == "before after\nx y"
+
+
+def test_long_constants_are_furniture_too():
+    notice = "All rights reserved by the publisher of these pages, whoever reads them. " * 6
+    pages = [f"<body><article><p>{f'text {i} of its own ' * 40}</p><div>{notice}</div><p>{f'more {i} ' * 30}</p></article></body>" for i in range(12)]
+    plan = H.plan_of(infer(pages), len(pages))
+    for i, p in enumerate(pages):
+        assert H.extract(p, plan) == f"{(f'text {i} of its own ' * 40).strip()}\n{(f'more {i} ' * 30).strip()}"
+
+
+def test_open_quotes_take_linear_time():
+    import time
+
+    for html in ('<a "' * 250_000, '<a "' * 250_000 + "'>", "<a \"'<b '\"" * 100_000 + "\"'>x", "<a" * 400_000 + ' ">', "<!" * 400_000 + "<!--" * 1000, "<a '\"" * 150_001 + ">"):
+        start = time.process_time()
+        H.parse(html)
+        assert time.process_time() - start < 4
+    slow = __import__("re").compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/><\"']*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", 16)
+    import random
+    random.seed(8)
+    for _ in range(3000):
+        html = "".join(random.choice(["<a", "<b ", '"', "'", ">", "x", "=", "</p>", "<!--", "-->", "<!"]) for _ in range(random.randint(1, 25)))
+        tags, at, got = H._Tags(html), 0, []
+        while found := tags.next(at):
+            m, at, rest = found
+            got.append((m.start(), at, m[2], rest))
+        assert got == [(m.start(), m.end(), m[2], m[3] or "") for m in slow.finditer(html) if m.start() < tags.end], html
+    assert H.extract("<p>x</p>y <!-- z") == "x\ny" == H.extract("<p>x</p>y <!-- z <b>w</b> v")
