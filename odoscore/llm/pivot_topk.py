@@ -21,6 +21,8 @@ from .common import stored
 
 SAMPLE, PIVOTS = 4096, 32
 BLOCK_ROWS, QUERY_ROWS, CHUNK, PIVOT_STEP = 4096, 2048, 64, 8
+#: Vectors at least this long take no part: the product of two might not fit a long.
+LONGEST = float(1 << 31) - 4096
 #: Distances are rounded to double; bounds are loosened by this share so that rounding cannot cut a candidate.
 _SLACK = 1e-9
 
@@ -154,12 +156,14 @@ def best_of(queries: Block, at: int, rows: Block, k: int, floor: float) -> list[
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) over integer vectors floor(scale * x): the k best of each query, ties to smaller ids.
 
-    Vectors that are null or hold null or non-finite components, and rows without an id, take no part.  A query is a row;
+    Vectors that are null or hold null or non-finite components, rows without an id, and vectors of a length of 2^31 and more after
+    scaling (whose scores may leave the range of a long) take no part.  A query is a row;
     its own row is no candidate, a repeated row with the same id is one.  Vectors of different lengths do not
     meet.  Fewer candidates than k give fewer ranks; an empty table gives an empty result.
     """
     doubles = F.col(vector_col).cast("array<double>")
-    valid = vectors.where(usable(doubles) & (F.size(vector_col) > 0) & F.col("vec_id").isNotNull())
+    square = F.aggregate(doubles, F.lit(0.0), lambda total, x: total + (x * scale) * (x * scale))
+    valid = vectors.where(usable(doubles) & (F.size(vector_col) > 0) & F.col("vec_id").isNotNull()).where(square < LONGEST * LONGEST)
     rows = valid.select(
         F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long").alias("vec_id"),
         F.size(vector_col).cast("int").alias("dim"), F.transform(doubles, lambda x: F.floor(x * scale)).alias("v"),

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import set_aside, stored
 from .components import components, spanning_stars
 
 BITS, HALF = 64, 32
@@ -229,11 +229,12 @@ def fingerprint_text(fp: str = "fp"):
 
 def keep_one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     """One row of each near-duplicate group: the one with the smallest doc_id (of equal ids, the smallest text)."""
+    docs, restored = set_aside(docs, ["root", "__fp", "__id", "__n"])
     prints = stored(with_fingerprint(docs, "__fp"))
     groups = near_duplicate_groups(prints.select("doc_id", F.col("__fp").alias("fp")), limit)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.first("component_id").alias("__id"), F.min("fp").alias("__fp")
-    )
+    ).drop("root")
     rows = prints.join(kept, "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
     first = Window.partitionBy("__fp", "__id").orderBy(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
-    return rows.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restored(rows.withColumn("__n", F.row_number().over(first)).where("__n = 1"))

@@ -92,6 +92,14 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((str(r[0]), r[2]) for r in kept.collect()) == [("3", "x"), ("4", "a"), ("None", "x"), ("None", "x")]
 
 
+def test_stage_keeps_columns_of_its_own_names(spark):
+    rows = [(1, "same words in both texts", 5, 6, 7, 8), (2, "same words in both texts", 9, 9, 9, 9), (3, "another text with other words", 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root int, __fp int, __id int, __n int")
+    kept = S.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 def test_text_form(spark):
     assert spark.createDataFrame([(-1,), (10,)], "fp long").select(S.fingerprint_text()).collect() == [("f" * 16,), ("000000000000000a",)]
     assert F is not None

@@ -15,6 +15,7 @@ VECTORS = "vec_id long, embedding array<float>, score string"
 
 def brute(rows, k):
     ok = [(i, r) for i, r in enumerate(rows) if r[0] is not None and r[1] and all(x is not None and math.isfinite(x) for x in r[1])]
+    ok = [(i, r) for i, r in ok if sum((256 * x) ** 2 for x in r[1]) < P.LONGEST**2]
     ints = {i: [math.floor(256 * x) for x in r[1]] for i, r in ok}
     out = []
     for i, r in ok:
@@ -36,6 +37,8 @@ def test_exact_top_k(spark, monkeypatch, block):
     rows += [(400 + i, [1.0] * 8, "x") for i in range(120)]
     rows += [(50, None, "x"), (100, [], "x"), (150, [1.0, None] * 4, "x"), (200, [float("nan")] * 8, "x"), (250, [float("inf")] * 8, "x"), (None, [1.0] * 8, "x")]
     rows += [(500, [0.5, 0.25], "x"), (501, [0.5, 0.5], "x"), (0, rows[0][1], "x")]
+    # Beyond the range of a long, and just within it.
+    rows += [(600, [3e16] * 8, "x"), (650, [3e38] * 8, "x"), (700, [2.9e6] * 8, "x"), (701, [2.9e6] * 7 + [-2.9e6], "x"), (702, [-2.9e6] * 8, "x")]
     got = P.exact_top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(map(tuple, got.collect())) == brute(rows, 5)
