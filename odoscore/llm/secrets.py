@@ -15,7 +15,11 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from html import unescape
+from itertools import accumulate, chain, repeat
 
 import pyarrow as pa
 import zstandard
@@ -35,7 +39,11 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
-ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: Code points in hexadecimal, in decimal, and references by name.
+ESCAPE = re.compile(
+    r"(?:\\u\{(?P<braced>[0-9A-Fa-f]{1,6})\}|\\u(?P<four>[0-9A-Fa-f]{4})|\\x(?P<two>[0-9A-Fa-f]{2})|&#[xX](?P<reference>[0-9A-Fa-f]{1,6});"
+    r"|%u(?P<percent>[0-9A-Fa-f]{4})|\\U(?P<eight>[0-9A-Fa-f]{8}))|&#(?P<decimal>[0-9]{1,7});|&(?P<name>[A-Za-z][A-Za-z0-9]{1,31});"
+)
 #: A run, or several lines of one; only the first line has to be long.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
@@ -49,7 +57,54 @@ MAGIC = {b"\x1f\x8b": "gzip", b"BZh": "bz2", b"\xfd7zXZ\x00": "xz", b"\x28\xb5\x
 MAX_DECODED = 1 << 27
 
 Span = tuple[int, int]
-Layer = tuple[str, list[Span]]
+
+
+class Same(Sequence):
+    """One span for every character of what compressed bytes hold, however much that is."""
+
+    def __init__(self, span: Span, size: int):
+        self.span, self.size = span, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return Same(self.span, len(range(*at.indices(self.size))))
+        if not -self.size <= at < self.size:
+            raise IndexError(at)
+        return self.span
+
+    def __iter__(self):
+        return repeat(self.span, self.size)
+
+
+class Chained(Sequence):
+    """Spans of parts one after another; a slice within one part is a slice of that part."""
+
+    def __init__(self, parts: list[Sequence[Span]]):
+        self.parts = [p for p in parts if len(p)]
+        self.starts = [0, *accumulate(map(len, self.parts))]
+
+    def __len__(self) -> int:
+        return self.starts[-1]
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            low, high, _ = at.indices(len(self))
+            first, last = bisect_right(self.starts, low) - 1, bisect_left(self.starts, high) - 1
+            cut = [p[max(0, low - s): high - s] for p, s in zip(self.parts[first: last + 1], self.starts[first: last + 1])] if low < high else []
+            return cut[0] if len(cut) == 1 else Chained(cut)
+        at += len(self) if at < 0 else 0
+        i = bisect_right(self.starts, at) - 1
+        return self.parts[i][at - self.starts[i]]
+
+    def __iter__(self):
+        return chain.from_iterable(self.parts)
+
+
+Layer = tuple[str, Sequence[Span]]
+_NO_SIGN = str.maketrans("", "", "= \t\r\n")
 _REPLACED = re.compile("[\udc80-\udcff]")
 
 
@@ -63,9 +118,13 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def _text_of(data: bytes, spans: list[Span]) -> Layer:
     """UTF-8 bytes with one source span each -> characters with one source span each; other bytes are replaced."""
+    if data.isascii():
+        return data.decode("ascii"), spans
     text = data.decode("utf-8", "surrogateescape")
     if len(text) == len(data):
         return _REPLACED.sub("\ufffd", text), spans
+    if isinstance(spans, Same):
+        return _REPLACED.sub("\ufffd", text), Same(spans.span, len(text))
     out, at = [], 0
     for c in text:
         n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
@@ -75,7 +134,7 @@ def _text_of(data: bytes, spans: list[Span]) -> Layer:
 
 
 def _clean(text: str) -> bool:
-    return "\ufffd" not in text and all(c.isprintable() or c.isspace() for c in text)
+    return "\ufffd" not in text and "".join(text.split()).isprintable()
 
 
 def _percent(piece: str, spans: list[Span]) -> tuple[bytes, list[Span]]:
@@ -96,10 +155,13 @@ def _percent(piece: str, spans: list[Span]) -> tuple[bytes, list[Span]]:
 def _escapes(piece: str, spans: list[Span]) -> Layer:
     out, sources, at = [], [], 0
     for m in ESCAPE.finditer(piece):
-        code = int(next(g for g in m.groups()[:4] if g), 16) if any(m.groups()[:4]) else int(m[5])
         out.append(piece[at: m.start()])
         sources += spans[at: m.start()]
-        out.append(chr(code) if code < 0x110000 else m[0])
+        if m["name"]:
+            out.append(unescape(m[0]))
+        else:
+            code = int(m["decimal"]) if m["decimal"] else int(m[m.lastindex], 16)
+            out.append(chr(code) if code < 0x110000 else m[0])
         sources += [(spans[m.start()][0], spans[m.end() - 1][1])] * len(out[-1])
         at = m.end()
     out.append(piece[at:])
@@ -161,7 +223,7 @@ def _held(data: bytes, spans: list[Span], most: int) -> tuple[list[Layer], bool]
             seen.add(mark)
             inner = more
         if seen and inner:
-            out.append(_text_of(inner, [(spans[m.start()][0], spans[-1][1])] * len(inner)))
+            out.append(_text_of(inner, Same((spans[m.start()][0], spans[-1][1]), len(inner))))
     return out, over
 
 
@@ -177,8 +239,9 @@ def _beside(layer: Layer, packed: list[Layer]) -> Layer:
 def _base64(piece: str, spans: list[Span], most: int) -> tuple[list[Layer], Layer | None, bool]:
     """What a piece holds when read from each of its first four characters on, so from any separator in it, too; what
     may stand in its place, if that is plain text; and whether something was too large."""
-    kept = [i for i, c in enumerate(piece) if c not in "= \t\r\n"]
-    whole = "".join(piece[i] for i in kept)
+    same = isinstance(spans, Same)
+    kept = [] if same else [i for i, c in enumerate(piece) if c not in "= \t\r\n"]
+    whole = piece.translate(_NO_SIGN)
     out, place, over = [], None, False
     # Signs of both alphabets have one meaning each; the piece may mix them before and behind a separator.
     standard = whole.replace("-", "+").replace("_", "/")
@@ -189,7 +252,7 @@ def _base64(piece: str, spans: list[Span], most: int) -> tuple[list[Layer], Laye
         if not data:
             continue
         at = [spans[i] for i in kept[shift:]]
-        sources = [(at[4 * (i // 3) + i % 3][0], at[4 * (i // 3) + i % 3 + 1][1]) for i in range(len(data))]
+        sources: Sequence[Span] = Same(spans.span, len(data)) if same else [(at[4 * (i // 3) + i % 3][0], at[4 * (i // 3) + i % 3 + 1][1]) for i in range(len(data))]
         packed, large = _held(data, sources, most)
         over |= large
         out += packed
@@ -201,10 +264,10 @@ def _base64(piece: str, spans: list[Span], most: int) -> tuple[list[Layer], Laye
             out.append(_beside(layer, packed))
         if b"\0" in data:
             # Two bytes a character.
-            some = [i for i, b in enumerate(data) if b]
-            bare = bytes(data[i] for i in some)
+            some = [] if same else [i for i, b in enumerate(data) if b]
+            bare = data.replace(b"\0", b"")
             if _READABLE.search(bare):
-                out.append(_beside(_text_of(bare, [sources[i] for i in some]), packed))
+                out.append(_beside(_text_of(bare, Same(spans.span, len(bare)) if same else [sources[i] for i in some]), packed))
     return out, place, over
 
 
@@ -231,7 +294,7 @@ def _decoded(layer: str, spans: list[Span] | None, most: int) -> tuple[list[Laye
     """The layers that one layer decodes to, and whether one was too large."""
     out, over = [], False
     percent = PERCENT.search(layer)
-    escaped = ("\\u" in layer or "\\x" in layer or "&#" in layer) and ESCAPE.search(layer)
+    escaped = any(sign in layer for sign in ("\\u", "\\x", "\\U", "%u", "&")) and ESCAPE.search(layer)
     pieces = [*_pieces(layer)]
     if not (percent or escaped or pieces):
         return out, over
@@ -266,10 +329,10 @@ def _decoded(layer: str, spans: list[Span] | None, most: int) -> tuple[list[Laye
             over |= large
             if place and s >= at:
                 parts += [layer[at:s], place[0]]
-                places += [*spans[at:s], *place[1]]
+                places += [spans[at:s], place[1]]
                 at = e
         if at:
-            out.append(("".join([*parts, layer[at:]]), [*places, *spans[at:]]))
+            out.append(("".join([*parts, layer[at:]]), Chained([*places, spans[at:]])))
     return out, over
 
 

@@ -108,3 +108,26 @@ def test_findings_across_and_beside_pieces(text):
     spans = S.scan(before + text + after).spans
     assert spans and all(k == "assign" and len(before) <= s < e <= len(before) + len(text) for s, k, e in spans)
     assert "hunter2hunter2" not in S.redact(before + text + after, spans)
+
+
+def test_more_forms_of_escapes():
+    for text in ("passw%u006Frd=hunter2hunter2", "pass\\U00000077ord=hunter2hunter2", "password&equals;hunter2hunter2", "&quot;password&quot;: &quot;hunter2hunter2",
+                 "&amp;quot;token&amp;quot;&#X3D;hunter2hunter2"):
+        spans = S.scan(text).spans
+        assert [k for _, k, _ in spans] == ["assign"], text
+        s, _, e = spans[0]
+        assert 0 <= s < e <= len(text) and text[:e].endswith("hunter2")
+    assert S.scan("a &unknownname; b &amp c").spans == []
+
+
+def test_large_contents_of_small_texts():
+    import base64
+    import time
+    import zlib
+
+    inner = base64.b64encode(b"x" * 3_000_000) + b" password=hunter2hunter2"
+    text = "see " + base64.b64encode(zlib.compress(inner, 9)).decode()
+    start = time.process_time()
+    found = S.scan(text)
+    assert time.process_time() - start < 20
+    assert [k for _, k, _ in found.spans] == ["assign"] and found.spans[0][0] >= 4 and found.spans[0][2] <= len(text)
