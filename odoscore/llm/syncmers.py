@@ -1,15 +1,15 @@
 """Document fingerprints from closed syncmers.
 
 A k-mer of code points is an anchor if the smallest of its inner s-mers, by hash, is its first or its last one.  That is
-decided by the k-mer alone, so an edit elsewhere moves no anchor.  A fingerprint holds the MOST anchors of the whole text
-with the smallest hashes, each with its first position; two fingerprints are matched on equal anchors
-that appear in the same order.
+decided by the k-mer alone, so an edit elsewhere moves no anchor.  A fingerprint holds every distinct anchor of the whole
+text in the order of first positions; two fingerprints are matched on equal anchors that appear in the same order.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +18,18 @@ from pyspark.sql import functions as F
 
 from .common import step_up, stored
 
-K, S, MOST = 16, 6, 64
+K, S = 16, 6
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: Code points that are hashed at once, documents that are compared at once, and ranges of ids per shuffle partition.
-_CHUNK, _ROWS, _RANGES = 1 << 18, 300, 4
+#: Code points that are hashed at once, documents and code points that are compared at once, and ranges of ids per
+#: shuffle partition.  A document over the limit of code points is compared by itself.
+_CHUNK, _ROWS, _POINTS, _RANGES = 1 << 18, 300, 1 << 21, 4
 
-Sketch = list[tuple[int, int]]
+
+class Sketch(NamedTuple):
+    """Distinct anchor hashes in ascending order, and the first position of each."""
+
+    hashes: np.ndarray
+    at: np.ndarray
 
 
 def _powers(n: int) -> np.uint64:
@@ -66,11 +72,12 @@ def _points(text: str) -> np.ndarray:
 
 
 def _sketch_of(at: np.ndarray, hashes: np.ndarray, text: str) -> Sketch:
-    if not len(at):
+    if not len(at) and text:
         # Too short for an anchor, or without one: the whole text is its only anchor; an empty text has none.
-        return [(int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest()), 0)] if text else []
+        whole = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest()
+        at, hashes = np.zeros(1, np.int64), np.frombuffer(whole, dtype=">u4").astype(np.uint32)
     found, first = np.unique(hashes, return_index=True)
-    return list(zip(found[:MOST].tolist(), at[first[:MOST]].tolist()))
+    return Sketch(found, at[first])
 
 
 def sketches(texts: list[str]) -> list[Sketch]:
@@ -97,37 +104,39 @@ def sketches(texts: list[str]) -> list[Sketch]:
 
 def _long_sketch(text: str) -> Sketch:
     """A very long text piece by piece; pieces overlap by K - 1, so every K-mer is seen once."""
-    kept_at, kept = np.empty(0, np.int64), np.empty(0, np.uint32)
+    places, found = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
     for begin in range(0, len(text) - K + 1, _CHUNK):
         at, hashes = anchors(_points(text[begin: begin + _CHUNK + K - 1]))
-        kept_at, kept = np.concatenate([kept_at, at + begin]), np.concatenate([kept, hashes])
-        found, first = np.unique(kept, return_index=True)
-        kept_at, kept = kept_at[first[:MOST]], found[:MOST]
-    return _sketch_of(kept_at, kept, text)
+        places.append(at + begin)
+        found.append(hashes)
+    return _sketch_of(np.concatenate(places), np.concatenate(found), text)
 
 
 def written(sketch: Sketch) -> str:
-    return ",".join(f"{h:08x}@{p:x}" for h, p in sketch)
+    """Eight hexadecimal digits for each anchor, in the order of first positions."""
+    return sketch.hashes[np.argsort(sketch.at)].astype(">u4").tobytes().hex()
+
+
+def _longest_rise(values: np.ndarray) -> int:
+    if (np.diff(values) > 0).all():
+        return len(values)
+    tails: list[int] = []
+    for value in values.tolist():
+        i = bisect_left(tails, value)
+        tails[i: i + 1] = [value]
+    return len(tails)
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """Share of common anchors (twice the common over all), estimated from the smallest hashes of both texts.
+    """Share of common anchors: twice the common over all of both.
 
     Only common anchors in one order count: the longest run that rises in both.  Two empty texts are alike.
     """
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    mine, other = dict(a), dict(b)
-    pool = sorted(mine.keys() | other.keys())[: max(len(a), len(b))]
-    common = sorted((mine[h], other[h]) for h in pool if h in mine and h in other)
-    tails: list[int] = []
-    for _, p in common:
-        i = bisect_left(tails, p)
-        tails[i: i + 1] = [p]
-    share = len(tails) / len(pool)
-    return 2 * share / (1 + share)
+    if not len(a.at) or not len(b.at):
+        return float(len(a.at) == len(b.at))
+    _, mine, other = np.intersect1d(a.hashes, b.hashes, assume_unique=True, return_indices=True)
+    common = b.at[other[np.argsort(a.at[mine])]]
+    return 2 * _longest_rise(common) / (len(a.at) + len(b.at))
 
 
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -155,13 +164,18 @@ def _walk(batches):
     for whole in batches:
         for start in range(0, whole.num_rows, _ROWS):
             part = whole.slice(start, _ROWS)
-            ids, texts, following = [], [], []
-            for last, doc_id, text in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+            ids, texts, following, size = [], [], [], 0
+            for last, doc_id, text in zip(*(part.column(i) for i in (1, 2, 3))):
+                last, doc_id, text = last.as_py(), doc_id.as_py(), text.as_py()
                 if held is not None:
                     ids.append(held[0])
                     texts.append(held[1])
                     following.append(text)
+                    size += len(held[1]) + len(text)
                 held = None if last else (doc_id, text)
+                if size > _POINTS:
+                    yield _compared(ids, texts, following)
+                    ids, texts, following, size = [], [], [], 0
             if ids:
                 yield _compared(ids, texts, following)
 

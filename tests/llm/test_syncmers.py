@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from odoscore.llm import syncmers as Y
@@ -23,7 +24,26 @@ def slow_sketch(text):
         inner = [mixed(points[i + j: i + j + Y.S]) for j in range(Y.K - Y.S + 1)]
         if min(inner) in (inner[0], inner[-1]):
             found.setdefault(mixed(points[i: i + Y.K]) >> 32, i)
-    return sorted(found.items())[: Y.MOST] or Y._sketch_of(np.empty(0), np.empty(0), text)
+    if text and not found:
+        found = {int.from_bytes(hashlib.blake2b(text.encode(), digest_size=4).digest()): 0}
+    return found
+
+
+def slow_likeness(a, b):
+    """Twice the longest common subsequence over all, by the quadratic table."""
+    if not a or not b:
+        return float(a == b)
+    mine, other = (sorted(s, key=s.get) for s in (a, b))
+    row = [0] * (len(other) + 1)
+    for x in mine:
+        above = row[:]
+        for j, y in enumerate(other):
+            row[j + 1] = above[j] + 1 if x == y else max(row[j], above[j + 1])
+    return 2 * row[-1] / (len(a) + len(b))
+
+
+def slow_written(sketch):
+    return "".join(f"{h:08x}" for h in sorted(sketch, key=sketch.get))
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +56,9 @@ def texts():
 @pytest.mark.parametrize("chunk", [1 << 20, 100])
 def test_sketches(texts, chunk, monkeypatch):
     monkeypatch.setattr(Y, "_CHUNK", chunk)
-    assert Y.sketches(texts) == [slow_sketch(t) for t in texts]
+    got = Y.sketches(texts)
+    assert [dict(zip(s.hashes.tolist(), s.at.tolist())) for s in got] == [slow_sketch(t) for t in texts]
+    assert all((np.diff(s.hashes.astype(np.int64)) > 0).all() for s in got)
 
 
 def test_anchors_do_not_depend_on_context(texts):
@@ -48,11 +70,19 @@ def test_anchors_do_not_depend_on_context(texts):
 
 
 def test_likeness():
-    a, b = Y.sketches(["".join(random.Random(1).choices("abcdefgh ", k=3000)), "".join(random.Random(2).choices("abcdefgh ", k=3000))])
-    assert Y.likeness(a, a) == 1 and Y.likeness(a, b) == 0 and Y.likeness([], []) == 1 and Y.likeness([], a) == 0
+    a, b, none = Y.sketches(["".join(random.Random(seed).choices("abcdefgh ", k=3000)) for seed in (1, 2)] + [""])
+    assert Y.likeness(a, a) == 1 and Y.likeness(a, b) == 0 and Y.likeness(none, none) == 1 and Y.likeness(none, a) == 0
     # Equal anchors in another order are no match.
-    backward = [(h, 10_000 - p) for h, p in a]
-    assert Y.likeness(a, backward) < 0.1
+    assert Y.likeness(a, Y.Sketch(a.hashes, 10_000 - a.at)) < 0.1
+
+
+def test_every_anchor_of_a_long_text_counts():
+    """One passage of one percent of a long text is found, and half a text is half alike."""
+    make = lambda seed, k: "".join(random.Random(seed).choices("abcdefghijkl ", k=k))
+    long, other = make(1, 200_000), make(2, 200_000)
+    quoted = other[:90_000] + long[50_000:52_000] + other[92_000:]
+    a, b, c = Y.sketches([long, quoted, long[:100_000] + other[:100_000]])
+    assert 0.008 < Y.likeness(a, b) < 0.012 and abs(Y.likeness(a, c) - 0.5) < 0.01
 
 
 DOCS = "doc_id long, text string, near_next string"
@@ -68,7 +98,7 @@ def check(spark, rows):
         edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
         own, changed, following = (slow_sketch(t) for t in (text, edited, after))
         digest = hashlib.sha256(edited.encode()).hexdigest()
-        want.append((i, len(text), digest, Y.written(own), Y.written(changed), Y.likeness(own, changed), Y.likeness(own, following)))
+        want.append((i, len(text), digest, slow_written(own), slow_written(changed), slow_likeness(own, changed), slow_likeness(own, following)))
     want.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
     assert [tuple(r) for r in got] == want
 
@@ -78,6 +108,14 @@ def test_documents_and_their_followers(spark, texts):
     check(spark, rows)
 
 
+def test_long_texts_are_compared_by_themselves(texts, monkeypatch):
+    rows = pa.table({"range": [0] * 30, "last": [False] * 29 + [True], "doc_id": list(range(30)), "text": (texts * 3)[:30]})
+    whole = pa.Table.from_batches(Y._walk(rows.to_batches()))
+    monkeypatch.setattr(Y, "_POINTS", 300)
+    parts = list(Y._walk(rows.to_batches()))
+    assert len(parts) > 5 and pa.Table.from_batches(parts).equals(whole.combine_chunks()) and whole.num_rows == 29
+
+
 def test_few_documents(spark):
     check(spark, [(1, "a single text that follows itself", "x")])
     check(spark, [(2, "short", "x"), (1, "a longer text than the next one", "x")])
