@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -180,32 +181,51 @@ def _walk(batches):
                 yield _compared(ids, texts, following)
 
 
+def _ordered_ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``range``: long numbers of near-equal row counts that rise in the order of (doc_id, hash).
+
+    Cuts at quantiles of the ids; an id at several cuts, or null, has more rows than a range should and is cut again
+    into as many parts by its hashes.
+    """
+    ranges = _RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    found, total, nulls = rows.agg(
+        F.percentile_approx("doc_id", shares, F.lit(20 * ranges)), F.count("*"), F.count_if(F.col("doc_id").isNull())
+    ).first()
+    times = Counter(found or [])
+    cuts = sorted(times)
+    # Place of the hash in equal parts of the whole hash range; other ids of the same range come behind these parts.
+    place = lambda parts: F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * parts)
+    part = F.when(F.col("doc_id").isNull(), place(F.lit(max(1, -(-nulls * ranges // max(1, total))))))
+    hot = [F.lit(x) for cut in cuts if times[cut] > 1 for x in (cut, times[cut])]
+    if hot:
+        parts = F.element_at(F.create_map(*hot), F.col("doc_id"))
+        part = part.when(parts.isNotNull(), place(parts))
+    at = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.expr(step_up("doc_id", cuts)))
+    width = 2 * ranges + 2      # more than there are parts
+    return rows.withColumn("range", at.cast("long") * width + part.otherwise(F.lit(width - 1)))
+
+
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` -> fingerprints of each text and of its edited form, and their likeness.
 
-    Null text is empty.  The order is by doc_id, null last, rows of one id by text; after the last comes the first, and a
-    single row follows itself.  An empty table gives an empty result.
+    Null text is empty.  The order is by doc_id, null last, rows of one id by hash of the text and text; after the last comes
+    the first, and a single row follows itself.  An empty table gives an empty result.
 
-    Ids are cut into ranges of near-equal counts.  The first text of a range is also sent to the range before it,
-    where it ends the walk, so one exchange brings every document together with its follower and every range
-    can be walked, and walked again, by itself.
+    Rows are cut into ranges of near-equal counts; only equal texts under one id are never parted.  The first text of a range is also
+    sent to the range before it, where it ends the walk, so one exchange brings every document together with
+    its follower and every range can be walked, and walked again, by itself.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = _RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, F.lit(20 * ranges))).first()[0] or []))
-    # Null ids make the last range.
-    at = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.expr(step_up("doc_id", cuts))).cast("int")
-    ranged = rows.withColumn("range", at)
-    firsts = stored(ranged.groupBy("range").agg(F.min("doc_id").alias("first_id")))
+    ranged = _ordered_ranges(rows.withColumn("hash", F.xxhash64("text")))
+    firsts = stored(ranged.groupBy("range").agg(F.min(F.struct("doc_id", "hash")).alias("first")))
     before = F.coalesce(F.lag("range").over(Window.orderBy("range")), F.max("range").over(Window.partitionBy()))
     # One row per range: its number is set by the shuffle partitions, not by the data.
-    ends = F.broadcast(firsts.select("range", "first_id", before.alias("before")))
-    starts = ranged.join(ends, "range").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    ends = F.broadcast(firsts.select("range", "first", before.alias("before")))
+    starts = ranged.join(ends, "range").where(F.struct("doc_id", "hash").eqNullSafe(F.col("first")))
     ending = starts.groupBy("before").agg(F.min("text").alias("text"))
-    both = ranged.select("range", F.lit(False).alias("last"), "doc_id", "text").union(
-        ending.select(F.col("before").alias("range"), F.lit(True), F.lit(None).cast("long"), "text")
+    both = ranged.select("range", F.lit(False).alias("last"), "doc_id", "text", "hash").union(
+        ending.select(F.col("before").alias("range"), F.lit(True), F.lit(None).cast("long"), "text", F.lit(None).cast("long"))
     )
-    order = ["range", "last", F.col("doc_id").asc_nulls_last(), "text"]
+    order = ["range", "last", F.col("doc_id").asc_nulls_last(), "hash", "text"]
     return both.repartition("range").sortWithinPartitions(*order).mapInArrow(_walk, _RESULT)

@@ -6,6 +6,8 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from odoscore.llm import syncmers as Y
 
@@ -91,7 +93,8 @@ DOCS = "doc_id long, text string, near_next string"
 def check(spark, rows):
     frame = spark.createDataFrame(rows, DOCS)
     got = sorted(Y.compare_with_next(frame).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["edited_sha256"]))
-    ordered = sorted(((i, t or "") for i, t, _ in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1].encode()))
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64
+    ordered = sorted(((i, t or "") for i, t, _ in rows), key=lambda r: (r[0] is None, r[0] or 0, signed(r[1]), r[1].encode()))
     want = []
     for at, (i, text) in enumerate(ordered):
         after = ordered[(at + 1) % len(ordered)][1]
@@ -108,6 +111,21 @@ def test_documents_and_their_followers(spark, texts):
     check(spark, rows)
 
 
+def test_hot_ids_and_nulls_are_parted(spark, texts):
+    """A third of all rows under one id, another third without an id."""
+    rows = [(i if i < 60 else 30 if i < 120 else None, f"{texts[5 + i % 4]} {i}", "x") for i in range(180)]
+    check(spark, rows)
+    frame = spark.createDataFrame(rows, DOCS).withColumn("hash", F.xxhash64("text"))
+    got = Y._ordered_ranges(frame).groupBy("range").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "hash")).alias("low"), F.max(F.struct("doc_id", "hash")).alias("high"),
+        F.first("doc_id").alias("id"),
+    ).orderBy("range").collect()
+    assert max(r["n"] for r in got) <= 40 and sum(r["id"] == 30 for r in got) >= 4 and sum(r["id"] is None for r in got) >= 4
+    assert all(a["high"] < b["low"] for a, b in zip(got, got[1:]) if a["id"] is not None and b["id"] is not None)
+    check(spark, [(7, f"text {i % 5}", "x") for i in range(40)])
+    check(spark, [(None, f"text {i % 5}", "x") for i in range(40)])
+
+
 def test_long_texts_are_compared_by_themselves(texts, monkeypatch):
     rows = pa.table({"range": [0] * 30, "last": [False] * 29 + [True], "doc_id": list(range(30)), "text": (texts * 3)[:30]})
     whole = pa.Table.from_batches(Y._walk(rows.to_batches()))
