@@ -29,6 +29,8 @@ SHINGLE = 3
 SAMPLE = 50_000
 #: Fingerprints that a shard is meant to have at home, and the most of either role that one task gets.
 SHARD_ROWS, TASK_ROWS = 20_000, 60_000
+#: A fingerprint with at least this share of all rows is hot; there can be no more than one over the share of them.
+HOT_SHARE = 0.001
 _LEAF, _BLOCK = 256, 4096
 
 
@@ -205,22 +207,27 @@ def near_edges(prints: DataFrame, limit: int = 3, task_rows: int = TASK_ROWS, sh
 
 
 def near_duplicate_groups(prints: DataFrame, limit: int = 3) -> DataFrame:
-    """Rows with ``doc_id`` and ``fp`` -> the same rows plus ``root`` and ``component_id``.
+    """Rows with ``doc_id`` and ``fp`` (stored: they are read three times) -> the same rows plus ``root`` and ``component_id``.
 
     Fingerprints at most ``limit`` bits apart are linked; equal ones are too, that of empty texts included.
     ``component_id`` is the smallest doc_id of the component (null if all are null), ``root`` names it by a fingerprint.
-    Repeated rows and repeated ids are rows like any other.
+    Repeated rows and repeated ids are rows like any other.  Rows of a hot fingerprint stay where they are: the at most
+    1,000 such classes are sent to them.
     """
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     linked = stored(components(near_edges(classes, limit)).withColumnRenamed("node", "fp"))
     grouped = classes.join(linked, "fp")
     firsts = grouped.groupBy("root").agg(F.min("first").alias("lowest"))
     moved = grouped.join(firsts, "root").select("fp", "root", "lowest")
-    named = classes.join(moved, "fp", "left").select(
+    named = stored(classes.join(moved, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
-        F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("lowest")).alias("component_id"),
+        F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("lowest")).alias("component_id"), "n",
+    ))
+    hot = F.col("n") >= HOT_SHARE * (named.agg(F.sum("n")).first()[0] or 0)
+    near = prints.join(F.broadcast(named.where(hot).drop("n")), "fp", "left")
+    return near.where("root IS NOT NULL").unionByName(
+        near.where("root IS NULL").drop("root", "component_id").join(named.where(~hot).drop("n"), "fp")
     )
-    return prints.join(named, "fp")
 
 
 def fingerprint_text(fp: str = "fp"):
@@ -229,12 +236,14 @@ def fingerprint_text(fp: str = "fp"):
 
 def keep_one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     """One row of each near-duplicate group: the one with the smallest doc_id (of equal ids, the smallest text)."""
-    docs, restored = set_aside(docs, ["root", "__fp", "__id", "__n"])
+    docs, restored = set_aside(docs, ["root", "__fp", "__kept", "__id", "__n"])
     prints = stored(with_fingerprint(docs, "__fp"))
     groups = near_duplicate_groups(prints.select("doc_id", F.col("__fp").alias("fp")), limit)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.first("component_id").alias("__id"), F.min("fp").alias("__fp")
     ).drop("root")
-    rows = prints.join(kept, "__fp").where(F.col("doc_id").eqNullSafe(F.col("__id")))
+    # Both keys, so that the texts of a hot fingerprint spread.
+    same = (F.col("__fp") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    rows = prints.join(kept.withColumnRenamed("__fp", "__kept"), same).drop("__kept")
     first = Window.partitionBy("__fp", "__id").orderBy(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
     return restored(rows.withColumn("__n", F.row_number().over(first)).where("__n = 1"))

@@ -84,6 +84,14 @@ def test_groups_of_nulls_repeats_and_ties(spark):
     assert S.with_fingerprint(spark.createDataFrame(rows[:1], DOCS)).columns == ["doc_id", "text", "fp"]
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 2.0])
+def test_hot_fingerprints_and_others_get_the_same_groups(spark, share, monkeypatch):
+    monkeypatch.setattr(S, "HOT_SHARE", share)
+    rows = [(i, "a hot text" if i % 3 else f"text number {i} alone", "x") for i in range(5, 65)] + [(None, "a hot text", "x")]
+    got = {r["doc_id"]: r["component_id"] for r in grouped(spark, rows).collect()}
+    assert len(got) == 61 and got == {i: i if i and i % 3 == 0 else 5 for i in got}
+
+
 def test_one_row_of_each_group_stays(spark):
     long = " ".join(f"word{i}" for i in range(400))
     rows = [(9, long, "x"), (4, long.upper(), "b"), (4, long.upper(), "a"), (None, "other text here", "x"), (None, "yet another text", "x"), (3, "", "x")]
