@@ -59,17 +59,15 @@ def deduplicated(events: DataFrame, key: list[str], time: str, lateness: str = L
     return event_time(events, time).withWatermark(time, lateness).dropDuplicatesWithinWatermark(key)
 
 
-def scored(
+def scored_and_rejected(
     payloads: DataFrame, model: PipelineModel, version: str, promoted: str, keep: list[str], received_at: str | None = None
-) -> DataFrame:
-    """Stateless scoring of the payloads that satisfy the contract; :func:`rejected` has the others."""
-    valid, _ = validate_rows(payloads)
-    return score(valid, model, version, promoted, keep, received_at)
-
+) -> tuple[DataFrame, DataFrame]:
+    """Stateless scores of the payloads that satisfy the contract, and the other payloads with their ``violations``.
 
-def rejected(payloads: DataFrame) -> DataFrame:
-    """The payloads that :func:`scored` leaves out, with what they violate."""
-    return validate_rows(payloads)[1]
+    Two streams that need a sink each; :func:`start_scores` writes both in one query.
+    """
+    valid, bad = validate_rows(payloads)
+    return score(valid, model, version, promoted, keep, received_at), bad
 
 
 def start_table(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -198,8 +198,11 @@ def test_stream_features_and_scores_equal_batch(run, spark, tmp_path):
     got = jobs.run_to_table(features(stream, ["customer_id"]), "f")
     assert got.exceptAll(features(rows, ["customer_id"])).isEmpty() and got.count() == 800
     model = result.models["candidate"]
-    scores = jobs.run_to_table(jobs.scored(stream, model, "v", "candidate", ["customer_id"]), "s")
+    rows.limit(3).withColumns({"tenure_months": F.lit(-5), "customer_id": F.concat("customer_id", F.lit("x"))}).write.mode("append").parquet(path)
+    good, bad = jobs.scored_and_rejected(stream, model, "v", "candidate", ["customer_id"])
+    scores, rejects = jobs.run_to_table(good, "s"), jobs.run_to_table(bad, "r")
     assert scores.exceptAll(score(rows, model, "v", "candidate", ["customer_id"])).isEmpty() and scores.count() == 800
+    assert rejects.count() == 3 and rejects.where("size(violations) = 0").isEmpty()
 
 
 def test_customer_files_are_ingested_as_they_land(spark, tmp_path):
