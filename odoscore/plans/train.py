@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,6 +28,9 @@ from .promotion import promotion_decision
 
 Scaler = dict[str, tuple[float, float]]
 
+#: A task of fewer rows costs more than it saves; one of more rows holds too much in memory.
+TASK_ROWS = (20_000, 1_000_000)
+
 
 @dataclass(frozen=True)
 class TrainingRun:
@@ -96,6 +100,21 @@ def scaling_stages(scaler: Scaler) -> list:
     ]
 
 
+def training_tasks(n_rows: int, cores: int) -> int:
+    """Tasks of each pass over the training rows: one per core, fewer for few rows, whole rounds of all cores for many."""
+    least, most = TASK_ROWS
+    return max(1, min(cores, math.ceil(n_rows / least))) * max(1, math.ceil(n_rows / (most * cores)))
+
+
+def training_rows(train: DataFrame, stages: list, label: str, n_train: int) -> DataFrame:
+    """Label and scaled features, dealt evenly: boosting passes over them hundreds of times.
+
+    Without that a pass has a task per stored file or row group, and one file is one task on any cluster.
+    """
+    rows = PipelineModel(stages).transform(train).select(label, "scaled")
+    return rows.repartition(training_tasks(n_train, train.sparkSession.sparkContext.defaultParallelism))
+
+
 def estimator(spec: ModelConfig, label: str, n_train: int, seed: int):
     p = spec.params
     if spec.kind == "logistic_regression":
@@ -146,8 +165,8 @@ def train_and_evaluate(
     train = split.filter("split = 'train'")
     scaler = fit_scaler(train)
     stages = scaling_stages(scaler)
-    prepared = PipelineModel(stages).transform(train).select(config.label, "scaled").persist()
-    n_train = prepared.count()
+    n_train = train.count()
+    prepared = training_rows(train, stages, config.label, n_train).persist()
     models = {}
     for name, spec in (("baseline", config.baseline), ("candidate", config.candidate)):
         fitted = estimator(spec, config.label, n_train, config.split.seed).fit(prepared)

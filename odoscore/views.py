@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.lineage import cut_lineage
+
 TELEMETRY_EXPRS = [
     "event_id",
     "ts AS event_ts",
@@ -92,6 +94,14 @@ def request_log_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*REQUEST_LOG_EXPRS)
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The same rows, stored as one file per core: of a file of one row group all that follows is done by one task.
+
+    Stored, because filters with all they compute would else be moved before the exchange, into that task.
+    """
+    return cut_lineage(df.repartition(df.sparkSession.sparkContext.defaultParallelism), "table")
+
+
 def raw_customers_from_table(customer: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``keep`` may name ``k`` (customer number) and ``nation``."""
     return customer.selectExpr(*CUSTOMER_BASE_EXPRS).selectExpr(*RAW_CUSTOMER_EXPRS, *(keep or []))

@@ -24,18 +24,20 @@ from .fragments import CLEAN, CLEAN_COLUMNS, FEATURE_ROWS, SPLIT, STAGED
 from .telemetry import rounded
 
 
-def clean(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
-    """Cleaned customers; ``keep`` may name ``k`` and ``nation``."""
-    raw = views.raw_customers_from_table(views.read_table(spark, sf_dir, "customer"), keep)
-    return clean_customers(raw, keep=keep)
+def clean(spark: SparkSession, sf_dir: str, keep: list[str] | None = None, dealt: bool = False) -> DataFrame:
+    """Cleaned customers; ``keep`` may name ``k`` and ``nation``.  ``dealt`` spreads the two columns read over all cores."""
+    table = views.read_table(spark, sf_dir, "customer")
+    if dealt:
+        table = views.dealt_out(table.select("c_custkey", "c_nationkey"))
+    return clean_customers(views.raw_customers_from_table(table, keep), keep=keep)
 
 
 def staged(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     return stage_batches(clean(spark, sf_dir, keep))
 
 
-def split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(features(clean(spark, sf_dir), ["customer_id", "churn"]))
+def split(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    return stratified_split(features(clean(spark, sf_dir, dealt=dealt), ["customer_id", "churn"]))
 
 
 @query(f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean", name="clean_customers")

@@ -294,7 +294,7 @@ def training_run(spark: SparkSession, sf_dir: str) -> TrainingRun:
     """The published settings.  Three queries ask for the same models; a session fits them once per table."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = train_and_evaluate(spark, clean(spark, sf_dir), "v20240201_000000", "2024-02-01 00:00:00", JobConfig())
+        _RUNS[key] = train_and_evaluate(spark, clean(spark, sf_dir, dealt=True), "v20240201_000000", "2024-02-01 00:00:00", JobConfig())
     return _RUNS[key]
 
 
@@ -311,7 +311,7 @@ def train_eval_metrics(spark, sf_dir):
     value = lambda name: F.max(F.when(F.col("metric") == name, F.col("value")))
     names = ("n_samples", "positive_rate", "roc_auc", "accuracy")
     wide = training_run(spark, sf_dir).metrics.groupBy("model", "split").agg(*[value(n).alias(n) for n in names])
-    held = split(spark, sf_dir).filter("split <> 'train'")
+    held = split(spark, sf_dir, dealt=True).filter("split <> 'train'")
     rule = m.classification_metrics(held, "churn", "is_new_high_risk", ["split"]).select("split", F.col("roc_auc").alias("rule_auc"))
     n, p = F.col("n_samples"), F.col("positive_rate")
     auc_error = F.sqrt((n + 1) / (12 * n * p * n * (1 - p)))
